@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import lookalike
+from . import leaks, lookalike, transducer
 
 VERSE_SCRIPTS = {"text_devanagari": "devanagari", "text_devanagari_alt": "devanagari_digits", "transliteration": "latin"}
 
@@ -15,6 +15,16 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.cases(table(spark, sf_dir, "verse"), "verse_id", VERSE_SCRIPTS).select("verse_id", "field")
 
 
-QUERIES = {"p1_found": p1_found}
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The byte_bpe_50k ids of every document's whole text."""
+    return transducer.token_ids(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a held-out item, with the item."""
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "evalitem"), "doc_id", "text", "item_id", "passage")
+
+
+QUERIES = {"p1_found": p1_found, "p6_ids": p6_ids, "p7_found": p7_found}
 
 ORACLES = {"p1_found": f"select verse_id, field from ({lookalike.cases_sql('verse', 'verse_id', VERSE_SCRIPTS)})"}

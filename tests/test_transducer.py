@@ -1,0 +1,20 @@
+"""p6_ids: the ids of the library over whole texts."""
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import __spark_entry__
+
+TEXTS = [
+    None, "", " ", "  \n\t ", "It's  the\n\n  end 's ''s", "<|endoftext|> is text", "धर्मक्षेत्रे कुरुक्षेत्रे ।। 1.1 ।।", "x\x1cy \x1f z\x85 \xa0w",
+    "tab\t\tand　wide  line", "🙂🙂 é ½ ² ४२", "word " * 5000 + "last", "a" * 3000, " trailing   ",
+]
+
+
+def test_query_over_a_table(spark, tmp_path):
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = __spark_entry__.queries()["p6_ids"](spark, str(tmp_path))
+    assert df.dtypes == [("doc_id", "bigint"), ("ids", "array<int>")]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    assert {r.doc_id: r.ids for r in df.collect()} == {i: library.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(TEXTS)}
