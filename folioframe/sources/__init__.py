@@ -1 +1 @@
-"""Sources: Parquet tables, JSON, JSON Lines, TSV word tables, cue texts, binary page files."""
+"""Sources: Parquet tables."""
