@@ -9,10 +9,13 @@ from ..operators.intervals import coverage
 from ..operators.reconcile import differences, digest
 from ..sources.tables import table
 
+#: Well below the pages of one kanda (3 to 276 in sf0.1), so that its runs are clipped and stitched.
+PAGES_A_SHARD = 64
+
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuous runs of covered pages and the gaps between them, per scan and kanda."""
-    return coverage(table(spark, sf_dir, "sarga_span"), ["scan_id", "kanda"], "start_page", "end_page", fallback="heading_page")
+    return coverage(table(spark, sf_dir, "sarga_span"), ["scan_id", "kanda"], "start_page", "end_page", fallback="heading_page", width=PAGES_A_SHARD)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
