@@ -22,10 +22,12 @@ CHUNK = 200_000  # rows of whole buckets handled at once
 
 
 def _evaluate(values: np.ndarray, row: np.ndarray, buckets: int, at: list[int]) -> np.ndarray:
-    """chi of each bucket at each point, shape (buckets, points); `row` is sorted."""
+    """chi of each bucket at each point, shape (buckets, points), in whatever order the rows are."""
     out = np.ones((buckets, len(at)), dtype=np.uint64)
     if not len(values):
         return out
+    order = np.argsort(row, kind="stable")
+    values, row = values[order], row[order]
     z = np.array(at, dtype=np.uint64)
     counts = np.bincount(row, minlength=buckets)
     place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -87,6 +89,16 @@ def _horner(poly: np.ndarray, at: list[int]) -> np.ndarray:
     return out
 
 
+def _split(num: np.ndarray, den: np.ndarray) -> tuple[list[int], list[int]] | None:
+    """Roots of numerator and denominator without their common factor; None if either has others."""
+    p, q = [int(x) for x in num], [int(x) for x in den]
+    common = G.poly_gcd(p, q) if len(p) > 1 and len(q) > 1 else [1]
+    if len(common) > 1:
+        p, q = G.poly_divmod(p, common)[0], G.poly_divmod(q, common)[0]
+    above, below = G.roots(p), G.roots(q)
+    return None if above is None or below is None else (above, below)
+
+
 def differing(bucket: np.ndarray, side: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Elements only one side holds as (bucket, side, value); rows are sorted by bucket and
     hold each (bucket, side, value) once. side is 0 or 1."""
@@ -117,20 +129,16 @@ def differing(bucket: np.ndarray, side: np.ndarray, value: np.ndarray) -> tuple[
                 holds = (G.mul(_horner(num, check), chi[1][same][:, degree:]) == G.mul(_horner(den, check), chi[0][same][:, degree:])).all(axis=1)
                 holds &= (chi[0][same] != 0).all(axis=1) & (chi[1][same] != 0).all(axis=1)
                 for b, p, q, fine in zip(these, num, den, holds):
-                    ok = bool(fine)
-                    if ok and degree:
-                        p, q = [int(x) for x in p], [int(x) for x in q]
-                        common = G.poly_gcd(p, q) if len(p) > 1 and len(q) > 1 else [1]
-                        if len(common) > 1:
-                            p, q = G.poly_divmod(p, common)[0], G.poly_divmod(q, common)[0]
-                        parts = [G.roots(p), G.roots(q)]
-                        ok = parts[0] is not None and parts[1] is not None
-                        if ok:
-                            found += [(b, s, x) for s in (0, 1) for x in parts[s]]
-                    if not ok:
+                    parts = _split(p, q) if fine else None
+                    if parts is None:
                         again.append(b)
-        left = np.array(again, dtype=np.int64)
+                    else:
+                        found += [(b, s, x) for s in (0, 1) for x in parts[s]]
+        left = np.sort(np.array(again, dtype=np.int64))
         if len(left):
+            # A bound of both sizes together always has a solution, so this never ends unsolved.
+            if (bound[left] > 4 * (sizes[0] + sizes[1])[left] + 8).any():
+                raise ArithmeticError("a bucket has no verified solution although the bound exceeds its size")
             # doubled, in step with the parity of the size difference
             bound[left] = 2 * np.maximum(bound[left], 1) + (2 * np.maximum(bound[left], 1) - delta[left]) % 2
             attempt += 1
@@ -168,3 +176,99 @@ def recover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = len(b) - last
     if held:
         yield solved(held)
+
+
+BOUND = 6  # elements that may differ in a bucket if its sketch is to be enough
+POINTS = G.points(BOUND + 1 + CHECKS, 0)
+HELD = 4_000_000  # buckets times sides whose products a task holds before it emits them
+
+
+def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow form for any partition of (_bucket, _side, _h): for each bucket and side in it the
+    number of elements and the product of (z - h) at each of POINTS, little-endian."""
+    keys: list[np.ndarray] = []
+    values: list[np.ndarray] = []
+    rows = 0
+
+    def emitted() -> pa.RecordBatch:
+        names, row, counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        chi = _evaluate(np.concatenate(values), row, len(names), POINTS)
+        flat = pa.Array.from_buffers(pa.binary(8 * len(POINTS)), len(names), [None, pa.py_buffer(np.ascontiguousarray(chi))])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names >> 1), pa.array((names & 1).astype(np.int8)), pa.array(counts.astype(np.int64)), flat.cast(pa.binary())], ["_bucket", "_side", "_n", "_chi"]
+        )
+
+    for batch in batches:
+        b, s, h = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("_bucket", "_side", "_h"))
+        keys.append(b * 2 + s)
+        values.append(h.astype(np.uint64))
+        rows += len(b)
+        if rows >= HELD:
+            yield emitted()
+            keys, values, rows = [], [], 0
+    if rows:
+        yield emitted()
+
+
+def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow form for a partition sorted by _bucket that holds its whole sketches: the differing
+    (_bucket, _side, _h), and _side -1 for a bucket that differs in more than BOUND elements."""
+
+    def solved(b: np.ndarray, s: np.ndarray, n: np.ndarray, chi: np.ndarray) -> pa.RecordBatch:
+        names, row = np.unique(b, return_inverse=True)
+        sums = np.zeros((2, len(names)), dtype=np.int64)
+        product = np.ones((2, len(names), len(POINTS)), dtype=np.uint64)
+        for side in (0, 1):
+            mine = s == side
+            np.add.at(sums[side], row[mine], n[mine])
+            part, place = chi[mine], row[mine]
+            counts = np.bincount(place, minlength=len(names))
+            nth = np.arange(len(place)) - np.repeat(np.cumsum(counts) - counts, counts)
+            for k in range(int(nth.max()) + 1 if len(nth) else 0):
+                take = nth == k
+                product[side][place[take]] = G.mul(product[side][place[take]], part[take])
+        delta = sums[0] - sums[1]
+        found: list[tuple[int, int, int]] = []
+        for d in np.unique(delta):
+            these = np.flatnonzero(delta == d)
+            degree = BOUND + (BOUND + int(d)) % 2
+            fits = abs(int(d)) <= degree
+            same = (product[0][these] == product[1][these]).all(axis=1) & (d == 0)
+            if not fits:
+                found += [(x, -1, 0) for x in these]
+                continue
+            these = these[~same]
+            if not len(these):
+                continue
+            a, c = product[0][these], product[1][these]
+            ratio = G.mul(a, G.inverse(c))
+            num, den = _interpolate(ratio[:, :degree], POINTS[:degree], (degree + int(d)) // 2, (degree - int(d)) // 2)
+            check = POINTS[degree:]
+            holds = (G.mul(_horner(num, check), c[:, degree:]) == G.mul(_horner(den, check), a[:, degree:])).all(axis=1)
+            holds &= (a != 0).all(axis=1) & (c != 0).all(axis=1)
+            for x, p, q, fine in zip(these, num, den, holds):
+                parts = _split(p, q) if fine else None
+                found += [(x, -1, 0)] if parts is None else [(x, side, y) for side in (0, 1) for y in parts[side]]
+        x, s, y = zip(*found) if found else ((), (), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names[np.array(x, dtype=np.int64)], pa.int64()), pa.array(s, pa.int8()), pa.array(y, pa.int64())], ["_bucket", "_side", "_h"]
+        )
+
+    held: list[tuple[np.ndarray, ...]] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        chi = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint64).reshape(-1, len(POINTS))
+        held.append((*(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2)), chi))
+        rows += batch.num_rows
+        if rows < CHUNK:
+            continue
+        parts = [np.concatenate(x) for x in zip(*held)]
+        last = int(np.searchsorted(parts[0], parts[0][-1]))
+        if last:
+            yield solved(*(x[:last] for x in parts))
+        held = [tuple(x[last:] for x in parts)]
+        rows = len(parts[0]) - last
+    if held:
+        yield solved(*(np.concatenate(x) for x in zip(*held)))

@@ -1,9 +1,13 @@
 """Differences between two copies of a dataset, field by field.
 
-Each row becomes one element of a finite field (a hash of key and values); the elements of
-each hash bucket are reconciled by characteristic polynomials (functions.charpoly), and only
-the keys of the recovered rows are fetched and compared. What is shuffled of a row that both
-copies hold is its 61-bit element and bucket number, never its fields.
+Each row becomes one element of a finite field (a hash of key and values). Every partition
+reduces its elements, bucket by bucket, to the products of (z - h) at a few points
+(functions.charpoly.sketch); only these products are shuffled, and the differing elements of a
+bucket are the roots of the rational function through them. The elements themselves are
+shuffled only for buckets that differ in more elements than the sketch can tell, where the
+degree bound doubles until verified. The rows of the recovered elements are fetched by key and
+compared. A repeated row makes its element differ once more than it should: that costs a
+comparison and never shows in the result.
 """
 
 from __future__ import annotations
@@ -13,16 +17,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.charpoly import recover
+from ..functions.charpoly import recover, sketch, solve
+from ..session import durable
 
-ROWS_A_BUCKET = 16
+ROWS_A_BUCKET = 64
 BUCKET_SEED = 7
 
 
 def digest(value: Column) -> Column:
     """A digest in its one form: lower-case hex without algorithm prefix, spaces or separators."""
-    bare = F.regexp_replace(F.lower(F.trim(value)), r"^(sha-?256\s*[:=]|0x)", "")
-    return F.regexp_replace(bare, "[^0-9a-z]", "")
+    bare = F.regexp_replace(F.lower(value), r"^[\s\u00a0]*(sha-?256[\s\u00a0]*[:=]|0x)", "")
+    return F.regexp_replace(bare, r"[\s\u00a0:._-]", "")
 
 
 def _tagged(df: DataFrame, keys: Sequence[str], fields: Mapping[str, Column], side: int) -> DataFrame:
@@ -33,11 +38,12 @@ def _tagged(df: DataFrame, keys: Sequence[str], fields: Mapping[str, Column], si
     )
 
 
-def differences(origin: DataFrame, synced: DataFrame, keys: Sequence[str], fields: Mapping[str, Column]) -> DataFrame:
+def differences(origin: DataFrame, synced: DataFrame, keys: Sequence[str], fields: Mapping[str, Column], buckets: int | None = None) -> DataFrame:
     """One row per key that one copy lacks (`only_origin`, `only_synced`) and one per field
     whose values differ under a key both hold: keys, difference.
 
-    `fields` maps a field's name to the expression that gives its comparable value.
+    `fields` maps a field's name to the expression that gives its comparable value; `buckets`
+    is by default chosen from the copies' row counts, which for Parquet come from its footers.
 
     Defined cases: a repeated row counts once; where a key has several rows with unlike
     values in one copy, its sets of values are compared; null equals null only, in keys as
@@ -48,16 +54,22 @@ def differences(origin: DataFrame, synced: DataFrame, keys: Sequence[str], field
     rows = _tagged(origin, keys, fields, 0).unionByName(_tagged(synced, keys, fields, 1))
     # A null leaves xxhash64 as it was, so each value goes in together with its null flag.
     parts = [x for n in [*kn, *vn] for x in (F.col(n), F.col(n).isNull())]
-    buckets = max(1, (origin.count() + synced.count()) // (2 * ROWS_A_BUCKET))
+    buckets = buckets or max(1, (origin.count() + synced.count()) // (2 * ROWS_A_BUCKET))
     h = F.xxhash64(*parts).bitwiseAND(F.lit((1 << 61) - 1))
     # The bucket comes from a second hash of the same row: no key can make a bucket large,
     # and two rows are only confused if both hashes collide.
     hashed = rows.withColumns(
         {"_h": F.when(h == (1 << 61) - 1, F.lit(0)).otherwise(h), "_bucket": F.pmod(F.xxhash64(F.lit(BUCKET_SEED), *parts), F.lit(buckets))}
     )
-    elements = hashed.select("_bucket", "_side", "_h").distinct()  # combined map-side
-    recovered = elements.repartition("_bucket").sortWithinPartitions("_bucket").mapInArrow(recover, "_bucket long, _side tinyint, _h long")
-    suspects = hashed.join(recovered, ["_bucket", "_side", "_h"], "left_semi").select(*kn).distinct()
+    sketches = hashed.select("_bucket", "_side", "_h").mapInArrow(sketch, "_bucket long, _side tinyint, _n long, _chi binary")
+    # Written once: it is read three times below, and a lost executor must not repeat the scans.
+    told = durable(sketches.repartition("_bucket").sortWithinPartitions("_bucket").mapInArrow(solve, "_bucket long, _side tinyint, _h long"))
+    beyond = told.where("_side = -1").select("_bucket")
+    elements = hashed.select("_bucket", "_side", "_h").join(beyond, "_bucket", "left_semi").distinct()
+    doubled = elements.repartition("_bucket").sortWithinPartitions("_bucket").mapInArrow(recover, "_bucket long, _side tinyint, _h long")
+    recovered = told.where("_side >= 0").unionByName(doubled).distinct()
+    # Not a semi join: that would be pushed below the union and recover each bucket twice.
+    suspects = hashed.join(recovered, ["_bucket", "_side", "_h"]).select(*kn).distinct()
     wanted = suspects.select(*[F.col(n).alias(f"_w{n}") for n in kn])
     same = [F.col(n).eqNullSafe(F.col(f"_w{n}")) for n in kn]
     condition = same[0]

@@ -31,27 +31,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. It is the cluster's spark.checkpoint.dir; only where
-    that is unset (a local test session) a folder of this machine is made and set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    made = os.path.join(tempfile.gettempdir(), f"folioframe-{os.getpid()}")
-    context.setCheckpointDir(f"file://{made}")
-    return f"file://{made}"
-
-
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage at a reliable checkpoint: the rows survive the loss of any executor."""
+    """Cut the lineage at a reliable checkpoint: the rows survive the loss of any executor. They
+    go to the folder of spark.checkpoint.dir; where that is unset, a local session writes to a
+    folder of its machine and a cluster's is refused."""
     spark = df.sparkSession
     context = spark.sparkContext
-    folder = shared_dir(spark)
     if not context._jsc.sc().getCheckpointDir().isDefined():
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = f"file://{tempfile.mkdtemp(prefix='folioframe-checkpoint-')}"
         context.setCheckpointDir(folder)
     return df.checkpoint()
 
