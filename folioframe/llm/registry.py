@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import leaks, lookalike, transducer
+from . import leaks, lookalike, transducer, truncation
 
 VERSE_SCRIPTS = {"text_devanagari": "devanagari", "text_devanagari_alt": "devanagari_digits", "transliteration": "latin"}
 
@@ -25,6 +25,20 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "evalitem"), "doc_id", "text", "item_id", "passage")
 
 
-QUERIES = {"p1_found": p1_found, "p6_ids": p6_ids, "p7_found": p7_found}
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.endings(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was cut."""
+    return _judged(spark, sf_dir).where("cut").select("doc_id")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of cut documents of each source."""
+    return truncation.shares(_judged(spark, sf_dir), "source")
+
+
+QUERIES = {"p8_found": p8_found, "p8_shares": p8_shares, "p1_found": p1_found, "p6_ids": p6_ids, "p7_found": p7_found}
 
 ORACLES = {"p1_found": f"select verse_id, field from ({lookalike.cases_sql('verse', 'verse_id', VERSE_SCRIPTS)})"}
