@@ -134,18 +134,21 @@ def endings(df: DataFrame, key: str, text: str, lang: str, source: str) -> DataF
 
     orders = F.explode(F.array(*[F.struct(F.lit(k).alias("_order"), F.col("_context").bitwiseAND((1 << BITS * k) - 1).alias("_part")) for k in range(1, ORDER + 1)])).alias("_o")
 
-    # Texts without a language are judged by the counts of all together, under one more name.
-    def both(counted: DataFrame, n: str) -> DataFrame:
-        known = counted.withColumn("_group", F.array(F.struct(F.lit(0).alias("_all"), F.col("_lang").alias("_lang")), F.struct(F.lit(1).alias("_all"), F.lit(None).cast("string").alias("_lang"))))
-        return known.select(F.explode("_group").alias("_g"), "_context", n).select("_g._all", F.coalesce("_g._lang", F.lit("")).alias("_lang"), "_context", n).where("_all = 1 or _lang <> ''").drop("_all")
-
-    on = both(longest, "_n").select("_lang", "_n", orders).groupBy("_lang", "_o._order", "_o._part").agg(F.sum("_n").alias("_n"))
-    ended = tails.select("_lang", "_context", "_suffix").distinct().groupBy("_lang", "_context").agg(F.count("*").alias("_e"))
-    ended = both(ended, "_e").select("_lang", "_e", orders).groupBy("_lang", "_o._order", "_o._part").agg(F.sum("_e").alias("_e"))
+    on = longest.select("_lang", "_n", orders).groupBy("_lang", "_o._order", "_o._part").agg(F.sum("_n").alias("_n"))
+    ended = tails.select("_lang", "_context", "_suffix").distinct().select("_lang", orders).groupBy("_lang", "_o._order", "_o._part").agg(F.count("*").alias("_e"))
+    # Only contexts in which some text ends matter from here on.
+    on = on.join(ended.select("_order", "_part").distinct(), ["_order", "_part"], "left_semi")
+
+    # Texts without a language are judged by the counts of all together, under the name "".
+    def with_all(counted: DataFrame, by: list[str], n: str) -> DataFrame:
+        together = counted.groupBy(*by).agg(F.sum(n).alias(n)).withColumn("_lang", F.lit(""))
+        return counted.where("_lang <> ''").select("_lang", *by, n).unionByName(together.select("_lang", *by, n))
+
+    ended, on = with_all(ended, ["_order", "_part"], "_e"), with_all(on, ["_order", "_part"], "_n")
     ends = ended.join(on, ["_lang", "_order", "_part"], "left").select("_lang", "_order", "_part", "_e", F.coalesce("_n", F.lit(0)).alias("_n"))
-    anywhere = both(longest, "_n").groupBy("_lang").agg(F.sum("_n").alias("_places")).join(
-        ended.where("_order = 1").groupBy("_lang").agg(F.sum("_e").alias("_texts")), "_lang", "right"
-    ).select("_lang", (F.col("_texts") / (F.coalesce("_places", F.lit(0)) + F.col("_texts"))).alias("_base"))
+    places = with_all(longest.groupBy("_lang").agg(F.sum("_n").alias("_places")), [], "_places")
+    texts = ended.where("_order = 1").groupBy("_lang").agg(F.sum("_e").alias("_texts"))
+    anywhere = texts.join(places, "_lang", "left").select("_lang", (F.col("_texts") / (F.coalesce("_places", F.lit(0)) + F.col("_texts"))).alias("_base"))
 
     judged = tails.select(F.coalesce("_lang", F.lit("")).alias("_lang"), "_context").distinct()
     steps = judged.select("_lang", "_context", orders).select("_lang", "_context", "_o._order", "_o._part").join(ends, ["_lang", "_order", "_part"])
