@@ -2,7 +2,9 @@
 
 For every context of up to ORDER characters, read backwards from a place in a text, the model
 counts how often a text goes on after it and how often it ends there. Shorter contexts stand
-behind longer ones. A text counts as cut unless its own final context makes an end MARGIN likelier
+behind longer ones. Only contexts in which some text ends are needed: a filter of fixed size of
+them goes to the workers, which count every place but pass on only what the filter lets through.
+A text counts as cut unless its own final context makes an end MARGIN likelier
 than at any place of its language and column; it is left out of the counts it is judged by.
 """
 
@@ -24,6 +26,7 @@ STRENGTH = 40.0  # places that a shorter context counts for beside a longer one
 MARGIN = 0.7  # log-odds above those of any place that a complete text needs: an end twice as likely
 SUFFIX = 32  # ends that agree in so many characters are copies of one text and count once
 HELD = 6_000_000  # places whose contexts a task holds before it counts them
+FILTER = 24  # bits of a slot number in the filter of final contexts
 SALTS = 16  # parts of one context's texts in the last join
 
 BITS = 10
@@ -68,37 +71,82 @@ class Reader:
         return packed[inside], last[inside]
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) to (lang, context, n): how often a text goes on after each longest context."""
-    reader = Reader()
-    held: dict[str | None, list[np.ndarray]] = {}
-    size = 0
-
-    def emitted() -> Iterator[pa.RecordBatch]:
-        for lang, parts in held.items():
-            codes = np.sort(np.concatenate(parts))
-            if not len(codes):
-                continue
-            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            n = np.diff(np.concatenate([first, [len(codes)]]))
-            for at in range(0, len(first), 100_000):
-                some = slice(at, at + 100_000)
-                c = codes[first[some]]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(c), pa.array(n[some].astype(np.int64))], ["_lang", "_context", "_n"])
+def _slots(parts: np.ndarray, order: int) -> np.ndarray:
+    """The filter's slots of contexts of one length."""
+    mixed = (parts.astype(np.uint64) + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(64 - FILTER)).astype(np.int64)
+
+
+def _mask(order: int) -> int:
+    return (1 << BITS * order) - 1
 
+
+def _filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Final contexts to the filter's words of 64 slots that are not empty."""
+    slots = np.zeros(1 << FILTER, dtype=bool)
     for batch in batches:
-        by: dict[str | None, list[str]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if text := bare(text):
-                by.setdefault(lang, []).append(text)
-        for lang, texts in by.items():
-            packed, last = reader.contexts(texts)
-            held.setdefault(lang, []).append(packed[~last])
-            size += len(packed)
-        if size >= HELD:
-            yield from emitted()
-            held, size = {}, 0
-    yield from emitted()
+        context = batch.column(0).to_numpy(zero_copy_only=False)
+        for k in range(ORDER + 1):
+            slots[_slots(context & _mask(k), k)] = True
+    words = np.packbits(slots).view(np.int64)
+    at = np.flatnonzero(words)
+    for first in range(0, len(at), 100_000):
+        some = at[first : first + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some])], ["_word", "_bits"])
+
+
+def _counts(words: dict[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(lang, text) to (lang, order, context, n): how often a text goes on after each context that the filter lets through."""
+        reader = Reader()
+        packed_words = np.zeros((1 << FILTER) // 64, dtype=np.int64)
+        packed_words[np.fromiter(words, np.int64)] = np.fromiter(words.values(), np.int64)
+        wanted = np.unpackbits(packed_words.view(np.uint8)).view(bool)
+        held: dict[str | None, list[np.ndarray]] = {}
+        size = 0
+
+        def emitted() -> Iterator[pa.RecordBatch]:
+            for lang, arrays in held.items():
+                codes = np.concatenate(arrays)
+                n = np.ones(0)
+                for k in range(ORDER, -1, -1):
+                    if k == ORDER:
+                        codes.sort()
+                        first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, dtype=np.int64)
+                        n = np.diff(np.concatenate([first, [len(codes)]]))
+                    else:
+                        codes &= _mask(k)
+                        turn = np.argsort(codes)
+                        codes, n = codes[turn], n[turn]
+                        first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, dtype=np.int64)
+                        n = np.add.reduceat(n, first) if len(first) else n
+                    codes = codes[first]
+                    kept = wanted[_slots(codes, k)]
+                    c, m = codes[kept], n[kept].astype(np.int64)
+                    for at in range(0, len(c), 100_000):
+                        some = slice(at, at + 100_000)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(c[some]), pa.string()), pa.array(np.full(len(c[some]), k, dtype=np.int32)), pa.array(c[some]), pa.array(m[some])],
+                            ["_lang", "_order", "_part", "_n"],
+                        )
+
+        for batch in batches:
+            by: dict[str | None, list[str]] = {}
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if text := bare(text):
+                    by.setdefault(lang, []).append(text)
+            for lang, texts in by.items():
+                packed, last = reader.contexts(texts)
+                held.setdefault(lang, []).append(packed[~last])
+                size += len(packed)
+            if size >= HELD:
+                yield from emitted()
+                held.clear()
+                size = 0
+        yield from emitted()
+
+    return run
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,15 +177,13 @@ def endings(df: DataFrame, key: str, text: str, lang: str, source: str) -> DataF
         _ends, f"_key {kinds[key]}, _source {kinds[source]}, _lang string, _context long, _suffix long"
     )
     tails = durable(tails)
-    longest = rows.select("_lang", "_text").mapInArrow(_counts, "_lang string, _context long, _n long")
-    longest = longest.groupBy("_lang", "_context").agg(F.sum("_n").alias("_n"))
-
-    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("_order"), F.col("_context").bitwiseAND((1 << BITS * k) - 1).alias("_part")) for k in range(1, ORDER + 1)])).alias("_o")
+    bits = tails.select("_context").mapInArrow(_filtered, "_word long, _bits long").groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    words = {r._word: r._bits for r in bits.collect()}  # at most 2**FILTER bits
+    counted = rows.select("_lang", "_text").mapInArrow(_counts(words), "_lang string, _order int, _part long, _n long")
+    on = durable(counted.groupBy("_lang", "_order", "_part").agg(F.sum("_n").alias("_n")))
 
-    on = longest.select("_lang", "_n", orders).groupBy("_lang", "_o._order", "_o._part").agg(F.sum("_n").alias("_n"))
+    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("_order"), F.col("_context").bitwiseAND(_mask(k)).alias("_part")) for k in range(ORDER + 1)])).alias("_o")
     ended = tails.select("_lang", "_context", "_suffix").distinct().select("_lang", orders).groupBy("_lang", "_o._order", "_o._part").agg(F.count("*").alias("_e"))
-    # Only contexts in which some text ends matter from here on.
-    on = on.join(ended.select("_order", "_part").distinct(), ["_order", "_part"], "left_semi")
 
     # Texts without a language are judged by the counts of all together, under the name "".
     def with_all(counted: DataFrame, by: list[str], n: str) -> DataFrame:
@@ -146,16 +192,13 @@ def endings(df: DataFrame, key: str, text: str, lang: str, source: str) -> DataF
 
     ended, on = with_all(ended, ["_order", "_part"], "_e"), with_all(on, ["_order", "_part"], "_n")
     ends = ended.join(on, ["_lang", "_order", "_part"], "left").select("_lang", "_order", "_part", "_e", F.coalesce("_n", F.lit(0)).alias("_n"))
-    places = with_all(longest.groupBy("_lang").agg(F.sum("_n").alias("_places")), [], "_places")
-    texts = ended.where("_order = 1").groupBy("_lang").agg(F.sum("_e").alias("_texts"))
-    anywhere = texts.join(places, "_lang", "left").select("_lang", (F.col("_texts") / (F.coalesce("_places", F.lit(0)) + F.col("_texts"))).alias("_base"))
-
     judged = tails.select(F.coalesce("_lang", F.lit("")).alias("_lang"), "_context").distinct()
     steps = judged.select("_lang", "_context", orders).select("_lang", "_context", "_o._order", "_o._part").join(ends, ["_lang", "_order", "_part"])
-    steps = steps.groupBy("_lang", "_context").agg(F.sort_array(F.collect_list(F.struct("_order", "_e", "_n"))).alias("_steps")).join(anywhere, "_lang")
-    chance = F.aggregate("_steps", F.col("_base"), lambda p, s: (s["_e"] - 1 + STRENGTH * p) / (s["_e"] - 1 + s["_n"] + STRENGTH))
+    steps = steps.groupBy("_lang", "_context").agg(F.sort_array(F.collect_list(F.struct("_order", "_e", "_n"))).alias("_steps"))
+    base = F.col("_steps")[0]["_e"] / (F.col("_steps")[0]["_e"] + F.col("_steps")[0]["_n"])
+    chance = F.aggregate(F.slice("_steps", 2, ORDER), base, lambda p, s: (s["_e"] - 1 + STRENGTH * p) / (s["_e"] - 1 + s["_n"] + STRENGTH))
     odds = lambda p: F.log(F.greatest(p, F.lit(1e-12)) / F.greatest(1 - p, F.lit(1e-12)))
-    scores = steps.select("_lang", "_context", odds(chance).alias("log_odds"), odds(F.col("_base")).alias("log_odds_anywhere"))
+    scores = steps.select("_lang", "_context", odds(chance).alias("log_odds"), odds(base).alias("log_odds_anywhere"))
 
     salted = scores.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     out = tails.select("_key", "_source", F.coalesce("_lang", F.lit("")).alias("_lang"), "_context", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int").alias("_salt")).join(salted, ["_lang", "_context", "_salt"])

@@ -39,6 +39,8 @@ def test_query_over_a_table(spark, tmp_path):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert truncation.endings(df, "doc_id", "text", "lang", "source").collect() == []
+    blank = spark.createDataFrame([(1, " ", "en", "s")], df.schema)
+    assert truncation.endings(blank, "doc_id", "text", "lang", "source").collect() == []
 
 
 def test_contexts_read_backwards():
