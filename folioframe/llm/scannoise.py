@@ -14,6 +14,7 @@ frequent words, which need no look-up; every other word is looked up by a join.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -48,8 +49,14 @@ _LAST_NUMBER = regex.compile(r"(?<=\p{L}\S*\s+)\d{1,4}\s*$")
 _SENTENCE_END = regex.compile(r"[.!?)।|][^A-Za-z0-9\s]*$|[.!?][^A-Za-z0-9\s]*[”’\"][^A-Za-z0-9\s]*$")
 _DIVIDED = regex.compile(r"(?<!\S)(?<lead>[“‘\"'(\[]*)(?<a>[\p{L}\p{M}@\d'’\-]*[\p{L}\p{M}@\d])(?<h>[-‐\xAD¬])(?<s> *\uE000|\s+)(?<b>[\p{L}\p{M}@\d(][\p{L}\p{M}@\d(]*(?:-[\p{L}\p{M}]+)*)")
 _SPACED = regex.compile(r"(?<![\p{L}\p{M}\d'’\-])(?:[\p{L}\d@(]\p{M}* ){2,}[\p{L}\d@(]\p{M}*(?![\p{L}\p{M}\d])")
-_WORD = regex.compile(r"[^\s“”‘’\".,;:!?—–\[\])*…·]+(?<!\()")
-_LETTER = regex.compile(r"[A-Za-z]")
+_WORD = re.compile(r"[^\s“”‘’\".,;:!?—–\[\])*…·]+(?<!\()")
+_LETTER = re.compile(r"[A-Za-z]")
+#: What must be in a value for the patterns above to be worth a try.
+_MAYBE_HEAD = re.compile(r"[A-Z][^a-z\s,.;:!?”)]{2}|[^\x00-\x7F][A-Z]{2}|\*")
+_MAYBE_NUMBER = re.compile(r"\s[\[(\-–—]\s?\d")
+_MAYBE_LEADERS = re.compile(r"\.\s?\.|[·…]")
+_MAYBE_SPACED = re.compile(r"(?:^|\s)\S(?:[\u0300-\u036F])* \S(?:[\u0300-\u036F])* \S")
+_MAYBE_DIVIDED = re.compile(r"[-‐\xAD¬](?:\s|\uE000)")
 
 
 class Reading:
@@ -58,16 +65,18 @@ class Reading:
 
     def __init__(self, value: str, sentences: bool) -> None:
         self.noise = False
+        head = _MAYBE_HEAD.search(value) is not None
         lines = value.split("\n")
         kept = []
-        for k, line in enumerate(lines):
+        for k, line in enumerate(lines if len(lines) > 1 else ()):
             bare = line.strip()
             closing = k == len(lines) - 1 and sentences and _BRACKETED.match(bare)
-            if len(lines) > 1 and bare and (_NUMBER_LINE.match(bare) and not closing or any(m.span() == (0, len(bare)) for m in (_HEAD.match(bare), _MOJIBAKE_HEAD.match(bare)) if m)):
+            if bare and (_NUMBER_LINE.match(bare) and not closing or head and any(m.span() == (0, len(bare)) for m in (_HEAD.match(bare), _MOJIBAKE_HEAD.match(bare)) if m)):
                 self.noise = True
                 continue
             kept.append(line)
         # A line end after a sentence belongs to the text, any other is the page's.
+        kept = kept if len(lines) > 1 else lines
         text = kept[0] if kept else ""
         for before, line in zip(kept, kept[1:]):
             if not sentences or before.strip() and not _SENTENCE_END.search(before.rstrip()):
@@ -75,14 +84,19 @@ class Reading:
                 text = text.rstrip(" ") + ("\uE000" if text.rstrip(" ")[-1:] in "-‐\xad¬" else " ") + line.lstrip(" ")
             else:
                 text += "\n" + line
-        text = self._without(_HEAD, text, lambda m: " ", lambda m: m["caps"] != m[0] or len(regex.findall(r"\p{Lu}", m["caps"])) > 5)
-        text = self._without(_MOJIBAKE_HEAD, text, lambda m: " ")
-        text = self._without(_NUMBER_INSIDE, text, lambda m: " ")
-        text = self._without(_LEADERS, text, lambda m: "")
+        if head:
+            text = self._without(_HEAD, text, lambda m: " ", lambda m: m["caps"] != m[0] or len(regex.findall(r"\p{Lu}", m["caps"])) > 5)
+            text = self._without(_MOJIBAKE_HEAD, text, lambda m: " ")
+        if _MAYBE_NUMBER.search(text):
+            text = self._without(_NUMBER_INSIDE, text, lambda m: " ")
+        if _MAYBE_LEADERS.search(text):
+            text = self._without(_LEADERS, text, lambda m: "")
         if not sentences:
             text = self._without(_LAST_NUMBER, text, lambda m: "")
-        text = regex.sub(r"  +", " ", text).strip(" ") if self.noise else text
-        self.text = self._without(_SPACED, text, lambda m: m[0].replace(" ", ""), lambda m: not m[0].isdecimal() and bool(_LETTER.search(m[0])))
+        text = re.sub(r"  +", " ", text).strip(" ") if self.noise else text
+        if _MAYBE_SPACED.search(text):
+            text = self._without(_SPACED, text, lambda m: m[0].replace(" ", ""), lambda m: not m[0].isdecimal() and bool(_LETTER.search(m[0])))
+        self.text = text
 
     def _without(self, pattern, text: str, by, where=lambda m: True) -> str:
         def one(m):
@@ -103,6 +117,8 @@ class Reading:
             word = decide(m["a"] + m["b"], m["a"] + "-" + m["b"], how)
             return m[0] if word is None else m["lead"] + word
 
+        if not _MAYBE_DIVIDED.search(self.text):
+            return self.text.replace("\uE000", " ")
         return _DIVIDED.sub(one, self.text).replace("\uE000", " ")
 
 
