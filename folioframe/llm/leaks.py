@@ -1,10 +1,12 @@
 """Documents that hold passages of held-out items: an FM-index of each shard's words.
 
-A shard is a slice of an Arrow batch, its texts one sequence of word numbers. The index holds
-the suffixes in the order of their first SEED + 1 words, which is exact for patterns up to that
-length. All runs of SEED words of all passages are searched backwards at once; hits on one
-diagonal, bridged over single changed words, are stretches, and stretches in the passage's
-order are counted in words. Only the passages, a table of fixed size, go to every worker.
+A shard is a slice of an Arrow batch, its texts one sequence of word numbers. Its index is the
+Burrows-Wheeler transform in a wavelet matrix, which ranks any word before any row, and the
+positions of every SAMPLE-th suffix, from which the others are located by walking backwards.
+All runs of SEED words of all passages are searched backwards at once; hits on one diagonal,
+bridged over single changed words, are stretches, and stretches in the passage's order are
+counted in words. The spans of a document's stretches are merged over all items for removal.
+Only the passages, a table of fixed size, go to every worker.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ STRETCH = 5  # words of the shortest stretch that counts
 ENOUGH = 15  # words of a case
 STOCK_RUN, STOCK_ITEMS = 5, 5  # a run of so many words in so many items is a stock sentence's
 SHARD = 4000  # documents
+SAMPLE = 4  # of so many suffixes one keeps its position
 
 _DROP = regex.compile(r"\p{Cf}|[̀-ͯ]|(?<=\p{L}\p{M}*)[-‐‑](?:\s*\n\s*)?(?=\p{L})")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
@@ -57,35 +60,113 @@ class Passages:
         self.places = np.array([p for x in where.values() for p in x], dtype=np.int64).reshape(-1, 2)
 
 
+def suffixes(sequence: np.ndarray, size: int) -> np.ndarray:
+    """The suffix array of numbers from 1 to `size` with one 0 at the end: suffixes are sorted by
+    their first numbers, and those that agree again by twice as many, until none do."""
+    n = len(sequence)
+    width = max(1, min(4, int(62 / np.log2(size + 2))))
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(width):
+        key *= size + 1
+        key[: n - k] += sequence[k:]
+    order = np.argsort(key, kind="stable")
+    fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    tied = np.flatnonzero(~(fresh & np.concatenate([fresh[1:], [True]])))  # places in `order`
+    while len(tied):
+        who = order[tied]
+        first, then = rank[who], rank[who + width]  # those that agree don't reach the end
+        turn = np.lexsort((then, first))
+        order[tied] = who = who[turn]
+        first, then = first[turn], then[turn]
+        fresh = np.concatenate([[True], (first[1:] != first[:-1]) | (then[1:] != then[:-1])])
+        rank[who] = tied[np.maximum.accumulate(np.where(fresh, np.arange(len(who)), 0))]
+        tied = tied[~(fresh & np.concatenate([fresh[1:], [True]]))]
+        width *= 2
+    return order
+
+
+class Wavelet:
+    """Ranks of any number in a sequence: a wavelet matrix, one row of counts for each bit."""
+
+    def __init__(self, sequence: np.ndarray, size: int) -> None:
+        self.bits = max(1, int(size).bit_length())
+        self.ones: list[np.ndarray] = []  # of each bit: how many ones stand before each place
+        self.zeros: list[int] = []
+        for level in range(self.bits - 1, -1, -1):
+            bit = (sequence >> level) & 1
+            ones = np.zeros(len(sequence) + 1, dtype=np.int32)
+            np.cumsum(bit, out=ones[1:])
+            self.ones.append(ones)
+            self.zeros.append(len(sequence) - int(ones[-1]))
+            sequence = np.concatenate([sequence[bit == 0], sequence[bit == 1]])
+
+    def place(self, number: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Where `row` comes to lie once the sequence is sorted by reading `number`'s bits."""
+        for k, (ones, zeros) in enumerate(zip(self.ones, self.zeros)):
+            before = ones[row]
+            row = np.where((number >> (self.bits - 1 - k)) & 1, zeros + before, row - before)
+        return row
+
+    def rank(self, number: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """How many of `number` stand before `row`."""
+        return self.place(number, row) - self.place(number, np.zeros_like(row))
+
+    def at(self, row: np.ndarray) -> np.ndarray:
+        """The number at `row`."""
+        number = np.zeros_like(row)
+        for ones, zeros in zip(self.ones, self.zeros):
+            before = ones[row]
+            bit = ones[row + 1] - before
+            number = number * 2 + bit
+            row = np.where(bit == 1, zeros + before, row - before)
+        return number
+
+
 class Index:
-    """FM-index of word numbers; 0 is a word of no passage or the end of a text."""
+    """FM-index of word numbers from 0 on; 0 is a word of no passage or the end of a text."""
 
     def __init__(self, sequence: np.ndarray, size: int) -> None:
-        base, key = size + 1, np.zeros(len(sequence), dtype=object if (size + 1) ** (SEED + 1) >= 2**63 else np.int64)
-        for k in range(SEED + 1):
-            key = key * base + np.roll(sequence, -k)
-        self.suffix = np.argsort(key, kind="stable")
+        sequence = np.concatenate([sequence + 1, [0]])
         self.n = len(sequence)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=base))])
-        before = sequence[self.suffix - 1]
-        self.places = np.sort(before * (self.n + 1) + np.arange(self.n))
+        order = suffixes(sequence, size + 1)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=size + 2))])
+        self.wavelet = Wavelet(sequence[order - 1], size + 1)
+        marked = order % SAMPLE == 0
+        self.marked = np.concatenate([[0], np.cumsum(marked)])
+        self.sampled = order[marked]
 
     def _step(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
-        # first[word] + rank: as many words stand before a `word` in the two columns alike
-        return np.searchsorted(self.places, word * (self.n + 1) + row)
+        return self.first[word] + self.wavelet.rank(word, row)
 
     def find(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pattern, place) of every occurrence of every pattern."""
         low, high = np.zeros(len(patterns), dtype=np.int64), np.full(len(patterns), self.n)
         for k in range(patterns.shape[1] - 1, -1, -1):
-            low, high = self._step(patterns[:, k], low), self._step(patterns[:, k], high)
+            low, high = self._step(patterns[:, k] + 1, low), self._step(patterns[:, k] + 1, high)
         count = np.maximum(high - low, 0)
         which = np.repeat(np.arange(len(patterns)), count)
-        return which, self.suffix[np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + low[which]]
+        return which, self.locate(np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + low[which])
+
+    def locate(self, row: np.ndarray) -> np.ndarray:
+        """The positions of rows: each walks back to a sampled one and adds its steps."""
+        out = np.zeros(len(row), dtype=np.int64)
+        left, steps = np.arange(len(row)), 0
+        row = row.copy()
+        while len(left):
+            known = self.marked[row + 1] > self.marked[row]
+            out[left[known]] = self.sampled[self.marked[row[known]]] + steps
+            left, row = left[~known], row[~known]
+            if len(left):
+                row = self._step(self.wavelet.at(row), row)
+                steps += 1
+        return out
 
 
-def held(hits: list[tuple[int, int]]) -> int:
-    """Words of a passage that a text holds in order; hits are sorted (place in text, in passage)."""
+def held(hits: list[tuple[int, int]]) -> tuple[int, list[tuple[int, int]]]:
+    """Words of a passage that a text holds in order, and the first and last place in the text of
+    the stretches that hold them; hits are sorted (place in text, in passage)."""
     stretches: list[list[int]] = []  # first and last place in the text, first and last in the passage
     live: list[list[int]] = []
     for d, p in hits:
@@ -98,15 +179,20 @@ def held(hits: list[tuple[int, int]]) -> int:
             live.append(s := [d, d, p, p])
             stretches.append(s)
     kept = [s for s in stretches if s[3] + SEED - s[2] >= STRETCH]
-    best: list[int] = []
+    best: list[tuple[int, int]] = []  # words up to and with each stretch, and the stretch before it
     for k, s in enumerate(kept):
-        ahead = [best[j] for j, r in enumerate(kept[:k]) if r[1] + SEED <= s[0] and r[3] + SEED <= s[2]]
-        best.append(s[3] + SEED - s[2] + max(ahead, default=0))
-    return max(best, default=0)
+        ahead = max(((best[j][0], j) for j, r in enumerate(kept[:k]) if r[1] + SEED <= s[0] and r[3] + SEED <= s[2]), default=(0, -1))
+        best.append((s[3] + SEED - s[2] + ahead[0], ahead[1]))
+    most, at = max(((b[0], k) for k, b in enumerate(best)), default=(0, -1))
+    spans = []
+    while at >= 0:
+        spans.append((kept[at][0], kept[at][1] + SEED - 1))
+        at = best[at][1]
+    return most, spans[::-1]
 
 
-def leaked(texts: Sequence[str | None], passages: Passages) -> list[tuple[int, int]]:
-    """(row of texts, item) of every case."""
+def leaked(texts: Sequence[str | None], passages: Passages) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """(row of texts, item, first and last word of each stretch) of every case."""
     number, numbers, begins = passages.number, [0], []
     for t in texts:
         begins.append(len(numbers))
@@ -124,27 +210,60 @@ def leaked(texts: Sequence[str | None], passages: Passages) -> list[tuple[int, i
     found = []
     names, start, many = np.unique(pair, return_index=True, return_counts=True)
     for name, a, n in zip(names[many >= 3], start[many >= 3], many[many >= 3]):
-        if held(list(zip(place[a : a + n].tolist(), spot[a : a + n].tolist()))) >= ENOUGH:
-            found.append((int(name) // len(passages.ids), passages.ids[int(name) % len(passages.ids)]))
+        count, spans = held(list(zip(place[a : a + n].tolist(), spot[a : a + n].tolist())))
+        if count >= ENOUGH:
+            text = int(name) // len(passages.ids)
+            found.append((text, passages.ids[int(name) % len(passages.ids)], [(x - begins[text], y - begins[text]) for x, y in spans]))
     return found
 
 
-def leaks(documents: DataFrame, items: DataFrame, key: str, text: str, item: str, passage: str) -> DataFrame:
-    """One row for each document and each item of whose passage it holds ENOUGH words: key, item.
+def merged(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of whole numbers that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
-    Defined cases: null texts and passages hold nothing; stock sentences do not count;
-    repeated texts each count; without items there are no rows.
-    """
+
+def _searched(documents: DataFrame, items: DataFrame, key: str, text: str, item: str, passage: str, spans: bool) -> DataFrame:
     passages = Passages([tuple(r) for r in items.select(item, passage).where(F.col(passage).isNotNull()).collect()])
-    kinds = [documents.schema[key].dataType.simpleString(), items.schema[item].dataType.simpleString()]
+    kind, other = documents.schema[key].dataType.simpleString(), items.schema[item].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, SHARD):
                 batch = whole.slice(begin, SHARD)
                 found = leaked(batch.column(1).to_pylist(), passages) if len(passages.seeds) else []
-                if found:
-                    rows, ids = zip(*found)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, pa.int64())], [key, item])
+                if not found:
+                    continue
+                if spans:
+                    by: dict[int, list[tuple[int, int]]] = {}
+                    for row, _, held_at in found:
+                        by.setdefault(row, []).extend(held_at)
+                    rows, first, last = zip(*[(row, a, b) for row, x in by.items() for a, b in merged(x)])
+                    columns, names = [pa.array(first, pa.int64()), pa.array(last, pa.int64())], [key, "first_word", "last_word"]
+                else:
+                    rows, ids, _ = zip(*found)
+                    columns, names = [pa.array(ids, pa.int64())], [key, item]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *columns], names)
+
+    columns = "first_word long, last_word long" if spans else f"{item} {other}"
+    return documents.select(key, F.col(text).cast("string")).mapInArrow(run, f"{key} {kind}, {columns}")
+
+
+def leaks(documents: DataFrame, items: DataFrame, key: str, text: str, item: str, passage: str) -> DataFrame:
+    """One row for each document and each item of whose passage it holds ENOUGH words: key, item.
+
+    Defined cases: null texts and passages hold nothing; stock sentences do not count;
+    repeated texts each count; without items there are no rows; other columns are ignored.
+    """
+    return _searched(documents, items, key, text, item, passage, False)
+
 
-    return documents.select(key, F.col(text).cast("string")).mapInArrow(run, f"{key} {kinds[0]}, {item} {kinds[1]}")
+def removals(documents: DataFrame, items: DataFrame, key: str, text: str, item: str, passage: str) -> DataFrame:
+    """What to take out of the same documents: key, first_word and last_word of each span, counted
+    from 0 in `words` of the text; the stretches of all items are merged. Cases as in `leaks`."""
+    return _searched(documents, items, key, text, item, passage, True)

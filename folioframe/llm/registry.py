@@ -26,6 +26,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "evalitem"), "doc_id", "text", "item_id", "passage")
 
 
+def p7_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words to take out of the same documents."""
+    return leaks.removals(table(spark, sf_dir, "documents"), table(spark, sf_dir, "evalitem"), "doc_id", "text", "item_id", "passage")
+
+
 def _printed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """field, record_id, value of the two fields whose text comes from printed pages."""
     titles = table(spark, sf_dir, "toc_entry").select(F.lit("title_raw").alias("field"), F.col("entry_id").alias("record_id"), F.col("title_raw").alias("value"))
@@ -67,6 +72,6 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.shares(_judged(spark, sf_dir), "source")
 
 
-QUERIES = {"p4_found": p4_found, "p4_text": p4_text, "p5_found": p5_found, "p5_text": p5_text, "p8_found": p8_found, "p8_shares": p8_shares, "p1_found": p1_found, "p6_ids": p6_ids, "p7_found": p7_found}
+QUERIES = {"p4_found": p4_found, "p4_text": p4_text, "p5_found": p5_found, "p5_text": p5_text, "p8_found": p8_found, "p8_shares": p8_shares, "p1_found": p1_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_spans": p7_spans}
 
 ORACLES = {"p1_found": f"select verse_id, field from ({lookalike.cases_sql('verse', 'verse_id', VERSE_SCRIPTS)})"}

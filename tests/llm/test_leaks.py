@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import __spark_entry__
-from folioframe.llm.leaks import SEED, Index
+from folioframe.llm.leaks import SEED, Index, Wavelet, leaks, merged, suffixes
 
 STOCK = "Lines that could not be read from the scan are marked in the list of gaps kept beside the page images."
 W = [f"wörd{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
@@ -39,6 +39,36 @@ def test_query_over_tables(spark, tmp_path):
     spark.createDataFrame([*PASSAGES.items(), (99, DEVA), (98, None)], "item_id long, passage string").write.parquet(f"{tmp_path}/evalitem.parquet")
     got = sorted(tuple(r) for r in __spark_entry__.queries()["p7_found"](spark, str(tmp_path)).collect())
     assert got == [(k, i) for k, (_, i) in CASES.items()]
+    spans: dict[int, list[tuple[int, int]]] = {}
+    for r in __spark_entry__.queries()["p7_spans"](spark, str(tmp_path)).collect():
+        spans.setdefault(r.doc_id, []).append((r.first_word, r.last_word))
+    assert set(spans) == set(CASES) and spans[1] == [(0, 39)] and spans[2] == [(1, 15)]
+    assert sorted(spans[5]) == [(0, 8), (14, 22)]
+
+
+def test_empty_tables(spark):
+    documents = spark.createDataFrame([], "doc_id long, text string, item_id int")
+    items = spark.createDataFrame([(1, " ".join(W[:40]))], "item_id long, passage string")
+    one = spark.createDataFrame([(1, "a", 2)], "doc_id long, text string, item_id int")
+    assert leaks(documents, items, "doc_id", "text", "item_id", "passage").collect() == []
+    assert leaks(one, items.limit(0), "doc_id", "text", "item_id", "passage").collect() == []
+
+
+def test_merged():
+    assert merged([(5, 9), (1, 3), (4, 4), (12, 13), (6, 7)]) == [(1, 9), (12, 13)]
+
+
+def test_suffixes_and_ranks():
+    rng = random.Random(8)
+    for size in (1, 3, 300):
+        text = np.array([rng.randrange(1, size + 1) for _ in range(300)] * 2 + [0], dtype=np.int64)
+        listed = text.tolist()
+        assert suffixes(text, size).tolist() == sorted(range(len(text)), key=lambda i: listed[i:])
+        wavelet = Wavelet(text, size)
+        rows = np.array([rng.randrange(len(text)) for _ in range(50)])
+        assert wavelet.at(rows).tolist() == [listed[r] for r in rows]
+        number = np.array([rng.randrange(size + 1) for _ in rows])
+        assert wavelet.rank(number, rows).tolist() == [listed[:r].count(x) for x, r in zip(number.tolist(), rows)]
 
 
 def test_index_against_search():
