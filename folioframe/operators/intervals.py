@@ -28,7 +28,8 @@ def _islands(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def _local_runs(df: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
     """Level one: disjoint runs of each (entity, shard) as (keys, _shard, _s, _e)."""
     w = F.lit(width)
-    ends = df.withColumns({"_a": F.floor(F.col("_s") / w), "_b": F.floor(F.col("_e") / w)})
+    shard = lambda c: F.expr(f"({c} - pmod({c}, {int(width)}L)) div {int(width)}L")  # noqa: E731 - not by doubles
+    ends = df.withColumns({"_a": shard("_s"), "_b": shard("_e")})
     head = F.struct(F.col("_a").alias("_shard"), F.col("_s").alias("_s"), F.least(F.col("_e"), (F.col("_a") + 1) * w - 1).alias("_e"))
     tail = F.struct(F.col("_b").alias("_shard"), (F.col("_b") * w).alias("_s"), F.col("_e").alias("_e"))
     pieces = ends.select(*keys, F.explode(F.when(F.col("_a") == F.col("_b"), F.array(head)).otherwise(F.array(head, tail))).alias("_p")).select(*keys, "_p.*")
@@ -76,5 +77,5 @@ def coverage(df: DataFrame, keys: Sequence[str], start: str, end: str, fallback:
     across = shards.select(*names, (F.lag("_last").over(along) + 1).alias("_s"), (F.col("_first") - 1).alias("_e"))
     gaps = inside.unionByName(across).where("_s <= _e").withColumn("kind", F.lit("gap"))
     return periods.unionByName(gaps).select(
-        *[F.col(n).alias(k) for k, n in zip(keys, names)], "kind", F.col("_s").cast("int").alias("first_page"), F.col("_e").cast("int").alias("last_page")
+        *[F.col(n).alias(k) for k, n in zip(keys, names)], "kind", F.col("_s").alias("first_page"), F.col("_e").alias("last_page")
     )

@@ -304,7 +304,7 @@ def f5_entry_blocks(t):
 @query("j1_contents", f"""with entries as (select doc_id, block, list(line order by line_no) l, min(line_no) first_line from (select *, sum(case when regexp_matches(line, '^\\s{{0,8}}\\d{{1,3}}\\.\\s+\\S') then 1 else 0 end)
  over (partition by doc_id order by line_no rows unbounded preceding) block from ({LINES})) where block > 0 group by 1, 2),
  joined as (select doc_id, first_line, regexp_replace(regexp_replace(array_to_string(list_transform(l, lambda x: trim(x)), ' '), '- ', '-', 'g'), '\\s+', ' ', 'g') s from entries)
- select doc_id, first_line, regexp_extract(s, '^(\\d{{1,3}})\\.\\s+(.*)$', 1)::bigint number, trim(coalesce(nullif(regexp_extract(regexp_extract(s, '^(\\d{{1,3}})\\.\\s+(.*)$', 2), '{LEADER}', 1), ''), regexp_extract(s, '^(\\d{{1,3}})\\.\\s+(.*)$', 2))) title,
+ select doc_id, first_line, try_cast(regexp_extract(s, '^(\\d{{1,3}})\\.\\s+(.*)$', 1) as bigint) number, trim(coalesce(nullif(regexp_extract(regexp_extract(s, '^(\\d{{1,3}})\\.\\s+(.*)$', 2), '{LEADER}', 1), ''), regexp_extract(s, '^(\\d{{1,3}})\\.\\s+(.*)$', 2))) title,
  try_cast(regexp_extract(regexp_extract(s, '^(\\d{{1,3}})\\.\\s+(.*)$', 2), '{LEADER}', 2) as bigint) page from joined""")
 def j1_contents(t):
     """Tables of contents as entries: number, title with its continuation lines, page."""
@@ -312,7 +312,7 @@ def j1_contents(t):
     whole = A.ordered_text(blocks.withColumn("line", F.trim("line")), ["doc_id", "block"], ["line_no"], "line", " ")
     firsts = blocks.groupBy("doc_id", "block").agg(F.min("line_no").cast("long").alias("first_line"))
     s = F.regexp_replace(F.regexp_replace("text", "- ", "-"), "\\s+", " ")
-    parsed = whole.join(firsts, ["doc_id", "block"]).select("doc_id", "first_line", F.regexp_extract(s, r"^(\d{1,3})\.\s+(.*)$", 1).cast("long").alias("number"), F.regexp_extract(s, r"^(\d{1,3})\.\s+(.*)$", 2).alias("rest"))
+    parsed = whole.join(firsts, ["doc_id", "block"]).select("doc_id", "first_line", F.regexp_extract(s, r"^(\d{1,3})\.\s+(.*)$", 1).try_cast("long").alias("number"), F.regexp_extract(s, r"^(\d{1,3})\.\s+(.*)$", 2).alias("rest"))
     found = X.leader(F.col("rest"))
     return parsed.select("doc_id", "first_line", "number", F.trim(F.coalesce(found["title"], "rest")).alias("title"), found["page"].alias("page"))
 

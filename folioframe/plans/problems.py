@@ -15,7 +15,8 @@ PAGES_A_SHARD = 64
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuous runs of covered pages and the gaps between them, per scan and kanda."""
-    return coverage(table(spark, sf_dir, "sarga_span"), ["scan_id", "kanda"], "start_page", "end_page", fallback="heading_page", width=PAGES_A_SHARD)
+    found = coverage(table(spark, sf_dir, "sarga_span"), ["scan_id", "kanda"], "start_page", "end_page", fallback="heading_page", width=PAGES_A_SHARD)
+    return found.withColumns({c: F.col(c).cast("int") for c in ("first_page", "last_page")})
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark():
     from folioframe.session import get_spark
 
-    session = get_spark("local[2]", 2)
+    session = get_spark("local[4]", 2)
     yield session
     session.stop()
