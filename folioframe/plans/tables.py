@@ -197,10 +197,10 @@ def e1_labels(t):
     return t("documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
 
 
-@query("e2_boxes", "select o_custkey % 100 page, min(o_totalprice) low, max(o_totalprice) high, round_even(avg(o_totalprice), 2) middle from orders group by 1")
+@query("e2_boxes", "select o_custkey % 100 page, min(o_totalprice) low, max(o_totalprice) high, round_even(sum(round(o_totalprice * 100)::bigint)::double / count(*), 0)::bigint middle from orders group by 1")
 def e2_boxes(t):
-    """The box around values, and their mean to two digits, halves to even."""
-    return t("orders").groupBy((F.col("o_custkey") % 100).alias("page")).agg(F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.bround(F.avg("o_totalprice"), 2).alias("middle"))
+    """The box around values, and their mean in hundredths, halves to even."""
+    return t("orders").groupBy((F.col("o_custkey") % 100).alias("page")).agg(F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.bround(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).cast("double") / F.count("*"), 0).cast("long").alias("middle"))
 
 
 @query("e3_item_means", "select l_orderkey, round(coalesce(avg(l_discount) filter (where l_discount > 0.02), 0), 6) mean, bool_or(l_returnflag = 'R') any_returned from lineitem group by 1")
