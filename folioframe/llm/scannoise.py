@@ -27,7 +27,6 @@ from ..session import durable
 
 RATIO = 20  # times a word is more frequent than its misreadings
 EVIDENCE = 3  # different words that must show a confusion
-ONEWAY = 3  # times a confusion is seen more often than its reverse, which spelling alone would show as often
 SHARE = 0.03  # of the frequent words that a sequence stands in, the part that must be seen misread
 GAP = 2  # characters of the longer side of a confusion
 USED = 2  # times an undivided word must be in use for its parts to be joined
@@ -40,7 +39,8 @@ _CAPITALS = r"[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*
 _HEAD = regex.compile(
     rf"(?<!\S)(?:\[\s?\p{{Lu}}\p{{Ll}}+\s[IVXLCDM]+\s?\]\s+)?(?:\d{{1,4}}\s+)?(?:\*\s+)?(?<caps>{_CAPITALS}(?:\s+{_CAPITALS})*)(?:\s+\*)?(?:\s+\d{{1,4}})?(?!\S)"
 )
-_MOJIBAKE_HEAD = regex.compile(r"(?<!\S)(?:\[\s?\p{Lu}\p{Ll}+\s[IVXLCDM]+\s?\]|\d{1,4})\s+(?:\*\s+)?[A-Z]{4,}\S*|(?<!\S)\*\s+[A-Z]\S*[^\x00-\x7F]\S*\s+\*|(?<!\S)[A-Z]{5,}\S*(?:\s+\*)?\s+\d{1,4}(?!\S)")
+#: The same in letters of a wrong encoding: few of the signs around them are enough.
+_MOJIBAKE_HEAD = regex.compile(r"(?<!\S)(?:\[\s?\p{Lu}\p{Ll}+\s[IVXLCDM]+\s?\](?:\s+[^\sa-z]*[A-Z][^\sa-z]*[A-Z]\S*)?(?:\s+\d{1,4}(?!\S))?|\d{1,4}\s+(?:\*\s+)?[A-Z]{4,}\S*)|(?<!\S)\*\s+\S{4,}\s+\*(?:\s+\d{1,4}(?!\S))?|(?<!\S)[A-Z]{5,}\S*(?:\s+\*)?\s+\d{1,4}(?!\S)")
 _NUMBER_LINE = regex.compile(r"^[\s\-–—\[\]()*]*\d{1,4}[\s\-–—\[\]()*]*$")
 _BRACKETED = regex.compile(r"^\(\d{1,4}(?:\P{L}{1,9}?\d{1,4})?\)$")
 _NUMBER_INSIDE = regex.compile(r"(?<=\s)(?:\[ \d{1,4} \]|([-–—]) \d{1,4} \1)(?=\s)|(?<=[^.!?)”\s]\s)\(\d{1,4}\)(?=\s+\S)")
@@ -200,10 +200,7 @@ def confusions(counted: DataFrame) -> dict[str, list[tuple[str, int]]]:
     )
     within = often.groupBy(F.col("part").alias("b")).agg(F.countDistinct("word").alias("within"))
     seen = pairs.groupBy("a", "b").agg(F.countDistinct("rare").alias("evidence"))
-    reverse = seen.select(F.col("a").alias("b"), F.col("b").alias("a"), F.col("evidence").alias("back"))
-    kept = seen.join(reverse, ["a", "b"], "left").join(within, "b").where(
-        (F.col("evidence") >= EVIDENCE) & (F.col("evidence") >= ONEWAY * F.coalesce("back", F.lit(0))) & (F.col("evidence") >= SHARE * F.col("within"))
-    )
+    kept = seen.join(within, "b").where((F.col("evidence") >= EVIDENCE) & (F.col("evidence") >= SHARE * F.col("within")))
     rows = kept.select("a", "b", "evidence").limit(MOST + 1).collect()
     if len(rows) > MOST:
         raise RuntimeError(f"more than {MOST} confusions: the values are not words")
