@@ -41,7 +41,8 @@ _HEAD = regex.compile(
 )
 #: The same in letters of a wrong encoding: few of the signs around them are enough.
 _MOJIBAKE_HEAD = regex.compile(r"(?<!\S)(?:\[\s?\p{Lu}\p{Ll}+\s[IVXLCDM]+\s?\](?:\s+[^\sa-z]*[A-Z][^\sa-z]*[A-Z]\S*)?(?:\s+\d{1,4}(?!\S))?|\d{1,4}\s+(?:\*\s+)?[A-Z]{4,}\S*)|(?<!\S)\*\s+\S{4,}\s+\*(?:\s+\d{1,4}(?!\S))?|(?<!\S)[A-Z]{5,}\S*(?:\s+\*)?\s+\d{1,4}(?!\S)")
-_NUMBER_LINE = regex.compile(r"^[\s\-–—\[\]()*]*\d{1,4}[\s\-–—\[\]()*]*$")
+#: A line of a page number, in which a scan may read letters for digits.
+_NUMBER_LINE = regex.compile(r"^[\s\-–—\[\]()*]*(?:pp?\.\s*)?(?=[lIO]*\d)[\dlIO]{1,4}[\s\-–—\[\]()*]*$")
 _BRACKETED = regex.compile(r"^\(\d{1,4}(?:\P{L}{1,9}?\d{1,4})?\)$")
 _NUMBER_INSIDE = regex.compile(r"(?<=\s)(?:\[ \d{1,4} \]|([-–—]) \d{1,4} \1)(?=\s)|(?<=[^.!?)”\s]\s)\(\d{1,4}\)(?=\s+\S)")
 _LEADERS = regex.compile(r"\s*(?:(?:[.·]\s?){2,}|…+\s*)(?=\d{1,4}\s*$)\d{1,4}\s*$|\s*(?:\.{4,}|(?:[.·] ){3,}[.·]?|…{2,})")

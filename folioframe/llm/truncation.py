@@ -4,7 +4,7 @@ For every context of up to ORDER characters, read backwards from a place in a te
 counts how often a text goes on after it and how often it ends there. Shorter contexts stand
 behind longer ones. Only contexts in which some text ends are needed: a filter of fixed size of
 them goes to the workers, which count every place but pass on only what the filter lets through.
-A text counts as cut unless its own final context makes an end MARGIN likelier
+A text counts as cut if its own final context makes an end no likelier
 than at any place of its language and column; it is left out of the counts it is judged by.
 """
 
@@ -23,8 +23,9 @@ from ..session import durable
 
 ORDER = 6  # characters of the longest context
 STRENGTH = 40.0  # places that a shorter context counts for beside a longer one
-MARGIN = 0.7  # log-odds above those of any place that a complete text needs: an end twice as likely
-SUFFIX = 32  # ends that agree in so many characters are copies of one text and count once
+MARGIN = 0.0  # log-odds above those of any place that a complete text needs
+SUFFIX = 256  # ends that agree in so many characters are copies of one text and count once
+DISCOUNT = 2  # ends of a context that may be other texts' cuts there
 HELD = 6_000_000  # places whose contexts a task holds before it counts them
 FILTER = 24  # bits of a slot number in the filter of final contexts
 SALTS = 16  # parts of one context's texts in the last join
@@ -196,7 +197,7 @@ def endings(df: DataFrame, key: str, text: str, lang: str, source: str) -> DataF
     steps = judged.select("_lang", "_context", orders).select("_lang", "_context", "_o._order", "_o._part").join(ends, ["_lang", "_order", "_part"])
     steps = steps.groupBy("_lang", "_context").agg(F.sort_array(F.collect_list(F.struct("_order", "_e", "_n"))).alias("_steps"))
     base = F.col("_steps")[0]["_e"] / (F.col("_steps")[0]["_e"] + F.col("_steps")[0]["_n"])
-    chance = F.aggregate(F.slice("_steps", 2, ORDER), base, lambda p, s: (s["_e"] - 1 + STRENGTH * p) / (s["_e"] - 1 + s["_n"] + STRENGTH))
+    chance = F.aggregate(F.slice("_steps", 2, ORDER), base, lambda p, s: (F.greatest(s["_e"] - 1 - DISCOUNT, F.lit(0)) + STRENGTH * p) / (s["_e"] - 1 + s["_n"] + STRENGTH))
     odds = lambda p: F.log(F.greatest(p, F.lit(1e-12)) / F.greatest(1 - p, F.lit(1e-12)))
     scores = steps.select("_lang", "_context", odds(chance).alias("log_odds"), odds(base).alias("log_odds_anywhere"))
 
