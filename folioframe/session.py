@@ -31,11 +31,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage at a reliable checkpoint: the rows survive the loss of any executor. They
-    go to the folder of spark.checkpoint.dir; where that is unset, a local session writes to a
-    folder of its machine and a cluster's is refused."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the checkpoint folder, which is set from
+    spark.checkpoint.dir. Where that is unset, a local session gets a folder of its machine and a
+    cluster's is refused."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         folder = context.getConf().get("spark.checkpoint.dir")
@@ -44,6 +43,12 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = f"file://{tempfile.mkdtemp(prefix='folioframe-checkpoint-')}"
         context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage at a reliable checkpoint: the rows survive the loss of any executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

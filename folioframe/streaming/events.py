@@ -32,23 +32,23 @@ def first_seen(df: DataFrame, keys: Sequence[str], time: str, late: str) -> Data
     return df.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def changes(df: DataFrame, by: str, order: Sequence[str], value: str, idle: str = "1 day") -> DataFrame:
+def changes(df: DataFrame, by: str, time: str, order: Sequence[str], value: str, late: str, idle: str) -> DataFrame:
     """The rows whose value differs from the key's last one; the state is one value for each key
-    and is dropped after `idle` without rows. Rows of one batch are taken in `order`."""
-    schema = df.schema
-    seconds = int(pd.Timedelta(idle).total_seconds() * 1000)
+    and is dropped once the watermark is `idle` (longer than `late`) behind the key's last row.
+    Rows of one batch are taken in `order`."""
+    milliseconds = int(pd.Timedelta(idle).total_seconds() * 1000)
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         rows = pd.concat(list(parts)).sort_values(list(order), kind="stable")
-        rows = rows[rows[value].fillna("").str.strip() != ""]
-        if not len(rows):
-            return
         last = state.get[0] if state.exists else None
-        yield rows[rows[value] != rows[value].shift(1, fill_value=last)]
-        state.update((rows[value].iloc[-1],))
-        state.setTimeoutDuration(seconds)
-
-    return df.groupBy(by).applyInPandasWithState(step, schema, "last string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+        said = rows[rows[value].fillna("").str.strip() != ""]
+        if len(said):
+            yield said[said[value] != said[value].shift(1, fill_value=last)]
+            last = said[value].iloc[-1]
+        state.update((last,))
+        state.setTimeoutTimestamp(int(rows[time].max().timestamp() * 1000) + milliseconds)
+
+    return df.withWatermark(time, late).groupBy(by).applyInPandasWithState(step, df.schema, "last string", "append", GroupStateTimeout.EventTimeTimeout)

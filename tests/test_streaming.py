@@ -16,7 +16,7 @@ def rows():
 
 def run(df, spark, name, mode="append"):
     query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination(120)
+    assert query.awaitTermination(120)
     return spark.table(name)
 
 
@@ -42,6 +42,6 @@ def test_first_seen(spark, tmp_path):
 
 def test_changes(spark, tmp_path):
     path = folder(spark, tmp_path, [rows()])
-    got = run(E.changes(E.files(spark, path, SCHEMA), "user", ["ts", "id"], "kind"), spark, "s3", "append")
+    got = run(E.changes(E.files(spark, path, SCHEMA), "user", "ts", ["ts", "id"], "kind", "1 minute", "9 days"), spark, "s3", "append")
     want = ordered.changes(spark.createDataFrame(rows(), SCHEMA), ["user"], ["ts", "id"], "kind")
     assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect())
