@@ -28,7 +28,7 @@ STOCK_RUN, STOCK_ITEMS = 5, 5  # a run of so many words in so many items is a st
 SHARD = 4000  # documents
 SAMPLE = 4  # of so many suffixes one keeps its position
 
-_DROP = regex.compile(r"\p{Cf}|[̀-ͯ]|(?<=\p{L}\p{M}*)[-‐‑](?:\s*\n\s*)?(?=\p{L})")
+_DROP = regex.compile(r"\p{Cf}|[̀-ͯ]|(?<=\p{L}\p{M}*)[-‐‑](?>\s*\n\s*)?(?=\p{L})")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
 

@@ -32,25 +32,28 @@ GAP = 2  # characters of the longer side of a confusion
 USED = 2  # times an undivided word must be in use for its parts to be joined
 FREQUENT = 20_000  # words sent to the workers
 MOST = 20_000  # confusions; an error beyond
+LONGEST = 64  # characters of a word; longer strings are none and have no corrections
 COUNTED = 500_000  # distinct words that a task holds before it emits their counts
 
-_CAPITALS = r"[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*"
+# Possessive throughout, and each pattern starts at the start of a run: time is linear in the text.
+_CAPITALS = r"(?:[^\s\p{Ll}\p{Lu}]*+\p{Lu}){4}[^\s\p{Ll}]*+"
 #: A bracketed part and a line in capitals, with a star or a page number on either side.
 _HEAD = regex.compile(
     rf"(?<!\S)(?:\[\s?\p{{Lu}}\p{{Ll}}+\s[IVXLCDM]+\s?\]\s+)?(?:\d{{1,4}}\s+)?(?:\*\s+)?(?<caps>{_CAPITALS}(?:\s+{_CAPITALS})*)(?:\s+\*)?(?:\s+\d{{1,4}})?(?!\S)"
 )
 #: The same in letters of a wrong encoding: few of the signs around them are enough.
-_MOJIBAKE_HEAD = regex.compile(r"(?<!\S)(?:\[\s?\p{Lu}\p{Ll}+\s[IVXLCDM]+\s?\](?:\s+[^\sa-z]*[A-Z][^\sa-z]*[A-Z]\S*)?(?:\s+\d{1,4}(?!\S))?|\d{1,4}\s+(?:\*\s+)?[A-Z]{4,}\S*)|(?<!\S)\*\s+\S{4,}\s+\*(?:\s+\d{1,4}(?!\S))?|(?<!\S)[A-Z]{5,}\S*(?:\s+\*)?\s+\d{1,4}(?!\S)")
+_MOJIBAKE_HEAD = regex.compile(r"(?<!\S)(?:\[\s?\p{Lu}\p{Ll}+\s[IVXLCDM]+\s?\](?:\s+(?:[^\sa-zA-Z]*+[A-Z]){2}\S*+)?(?:\s+\d{1,4}(?!\S))?|\d{1,4}\s+(?:\*\s+)?[A-Z]{4,}\S*)|(?<!\S)\*\s+\S{4,}\s+\*(?:\s+\d{1,4}(?!\S))?|(?<!\S)[A-Z]{5,}+\S*+(?:\s+\*)?\s+\d{1,4}(?!\S)")
 #: A line of a page number, in which a scan may read letters for digits.
 _NUMBER_LINE = regex.compile(r"^[\s\-–—\[\]()*]*(?:pp?\.\s*)?(?=[lIO]*\d)[\dlIO]{1,4}[\s\-–—\[\]()*]*$")
 _BRACKETED = regex.compile(r"^\(\d{1,4}(?:\P{L}{1,9}?\d{1,4})?\)$")
 _NUMBER_INSIDE = regex.compile(r"(?<=\s)(?:\[ \d{1,4} \]|([-–—]) \d{1,4} \1)(?=\s)|(?<=[^.!?)”\s]\s)\(\d{1,4}\)(?=\s+\S)")
-_LEADERS = regex.compile(r"\s*(?:(?:[.·]\s?){2,}|…+\s*)(?=\d{1,4}\s*$)\d{1,4}\s*$|\s*(?:\.{4,}|(?:[.·] ){3,}[.·]?|…{2,})")
+_LEADERS = regex.compile(r"(?<![\s.·…])\s*+(?:(?:(?:[.·]\s?){2,}+|…++\s*+)\d{1,4}\s*+$|(?:\.{4,}+|(?:[.·] ){3,}+[.·]?|…{2,}+))")
 _LAST_NUMBER = regex.compile(r"(?<=\p{L}\S*\s+)\d{1,4}\s*$")
 _SENTENCE_END = regex.compile(r"[.!?)।|][^A-Za-z0-9\s]*$|[.!?][^A-Za-z0-9\s]*[”’\"][^A-Za-z0-9\s]*$")
 _DIVIDED = regex.compile(r"(?<!\S)(?<lead>[“‘\"'(\[]*)(?<a>[\p{L}\p{M}@\d'’\-]*[\p{L}\p{M}@\d])(?<h>[-‐\xAD¬])(?<s> *\uE000|\s+)(?<b>[\p{L}\p{M}@\d(][\p{L}\p{M}@\d(]*(?:-[\p{L}\p{M}]+)*)")
 _SPACED = regex.compile(r"(?<![\p{L}\p{M}\d'’\-])(?:[\p{L}\d@(]\p{M}* ){2,}[\p{L}\d@(]\p{M}*(?![\p{L}\p{M}\d])")
-_WORD = re.compile(r"[^\s“”‘’\".,;:!?—–\[\])*…·]+(?<!\()")
+_SIGNS = r"[^\s“”‘’\".,;:!?—–\[\])*…·(]++"
+_WORD = re.compile(rf"(?<!\()\(*+{_SIGNS}(?:\(++{_SIGNS})*+")
 _LETTER = re.compile(r"[A-Za-z]")
 #: What must be in a value for the patterns above to be worth a try.
 _MAYBE_HEAD = re.compile(r"[A-Z][^a-z\s,.;:!?”)]{2}|[^\x00-\x7F][A-Z]{2}|\*")
@@ -80,7 +83,7 @@ class Reading:
         kept = kept if len(lines) > 1 else lines
         text = kept[0] if kept else ""
         for before, line in zip(kept, kept[1:]):
-            if not sentences or before.strip() and not _SENTENCE_END.search(before.rstrip()):
+            if not sentences or before.strip() and not _SENTENCE_END.search(before.rstrip()[-LONGEST:]):
                 self.noise = True
                 text = text.rstrip(" ") + ("\uE000" if text.rstrip(" ")[-1:] in "-‐\xad¬" else " ") + line.lstrip(" ")
             else:
@@ -192,7 +195,7 @@ def _gapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def confusions(counted: DataFrame) -> dict[str, list[tuple[str, int]]]:
     """Sequences with what they are misread from and how many different words show it."""
-    gapped = counted.where("length(word) > 2").mapInArrow(_gapped, "word string, n long, hash long, rest string, part string")
+    gapped = counted.where(f"length(word) between 3 and {LONGEST}").mapInArrow(_gapped, "word string, n long, hash long, rest string, part string")
     often = gapped.where(F.col("n") >= RATIO).where(F.col("part").rlike("^[A-Za-z]+$"))
     pairs = gapped.alias("r").join(often.alias("f"), ["hash", "rest"]).where(F.col("f.n") >= RATIO * F.greatest(F.col("r.n"), F.lit(1)))
     # The shortest sequences only: what both sides begin or end with is no part of the confusion.
@@ -248,7 +251,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def corrections(counted: DataFrame) -> DataFrame:
     """word, n, correction: each counted word with the best frequent word it is misread from, or null."""
     known = confusions(counted)
-    tried = counted.mapInArrow(_corrected(known), "word string, n long, variant string, hash long, places int, rank long")
+    tried = counted.where(f"length(word) <= {LONGEST}").mapInArrow(_corrected(known), "word string, n long, variant string, hash long, places int, rank long")
     often = counted.where(F.col("n") >= RATIO).mapInArrow(_hashed, "word string, n long, hash long")
     found = tried.alias("t").join(often.alias("f"), (F.col("t.hash") == F.col("f.hash")) & (F.col("t.variant") == F.col("f.word")))
     found = found.where(F.col("f.n") >= RATIO * F.greatest(F.col("t.n"), F.lit(1))).select("t.*", F.col("f.n").alias("often"))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import __spark_entry__
-from folioframe.llm.leaks import SEED, Index, Wavelet, leaks, merged, suffixes
+from folioframe.llm.leaks import SEED, Index, Wavelet, leaks, merged, suffixes, words
 
 STOCK = "Lines that could not be read from the scan are marked in the list of gaps kept beside the page images."
 W = [f"wörd{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
@@ -79,3 +79,8 @@ def test_index_against_search():
         which, place = Index(text, size).find(patterns)
         want = {(n, i) for n, p in enumerate(patterns) for i in range(len(text) - SEED + 1) if (text[i : i + SEED] == p).all()}
         assert set(zip(which.tolist(), place.tolist())) == want and len(which) == len(want)
+
+
+def test_long_runs_take_linear_time():
+    for run in ("a", "-", "a-", "a-\n", "\n", " ", "́", "​", "1"):
+        words("a-" + run * 100_000 + "b")

@@ -67,3 +67,10 @@ def test_hashes_differ_by_the_confusion():
 def test_long_text():
     text = "The river carried. " * 20_000
     assert S.Reading(text, True).text.strip() == text.strip() and not S.Reading(text, True).noise
+
+
+def test_long_runs_take_linear_time():
+    for run in ("A", "Ā", " ", ".", ". ", "·", "…", "1", "a ", "(", "-", "- ", "¬ ", "[1] ", "* ", "\n", "1\n", "A\n"):
+        for end in ("", "b", " b 12"):
+            S.words(S.Reading("x " + run * 60_000 + end, True))
+            S.words(S.Reading("x " + run * 60_000 + end, False))

@@ -52,3 +52,10 @@ def test_contexts_read_backwards():
 
 def test_bare():
     assert [truncation.bare(x) for x in (None, "", "a b ", "ab...", "ab [...]", "ab.", "x" * 500 + " …")] == ["", "", "a b", "ab", "ab", "ab.", "x" * 500]
+
+
+def test_long_runs_take_linear_time():
+    for run in ("a", ".", " ", "…", "[", "[.", "]", "�"):
+        text = truncation.bare("x" + run * 200_000)
+        packed, last = truncation.Reader().contexts([text or "x"])
+        assert last.sum() == 1 and len(packed) == len(text or "x")
