@@ -31,6 +31,8 @@ FILTER = 24  # bits of a slot number in the filter of final contexts
 SALTS = 16  # parts of one context's texts in the last join
 
 BITS = 10
+BETWEEN = chr(0x10FFFF)  # stands between texts
+DEVANAGARI_DIGIT = 592 + 0x66  # the sign of all Devanagari digits
 #: What is left behind where a text was cut; the characters before it are judged.
 TRACE = regex.compile(r"(?:\s|�|…|\.{3,}|\[(?:\s|\.|…)*(?:more|truncated|cut)?\s*\])+$", regex.I)
 
@@ -41,7 +43,9 @@ def _alphabet() -> np.ndarray:
     out = 832 + code % 192
     for first, last, base in ((0, 0x250, 0), (0x900, 0x980, 592), (0x2000, 0x2070, 720)):
         out[first:last] = base + np.arange(last - first)
-    out[0x30:0x3A], out[0x966:0x970], out[0] = 0x30, 592 + 0x66, 0
+    out[0x30:0x3A], out[0x966:0x970] = 0x30, DEVANAGARI_DIGIT
+    out[out == 0] = 1
+    out[ord(BETWEEN)] = 0
     return out
 
 
@@ -55,20 +59,27 @@ class Reader:
         self.alphabet = _alphabet()
 
     def contexts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The packed context at every place of all texts, and which of them are last places."""
-        pad = "\0" * (ORDER - 1)
+        """The packed context at every place of all texts, and which of them are last places. A
+        number is one place, however many digits it has."""
+        pad = BETWEEN * (ORDER - 1)
+        texts = [t.replace(BETWEEN, " ") if BETWEEN in t else t for t in texts]
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         whole = pad.join(["", *texts])
         sign = self.alphabet[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        digit = (sign == 0x30) | (sign == DEVANAGARI_DIGIT)
+        kept = ~digit
+        kept[:1] = True
+        kept[1:] |= ~digit[:-1]
+        last = np.zeros(len(sign), dtype=bool)
+        last[(np.cumsum(sizes + ORDER - 1) - 1)[sizes > 0]] = True
+        ended = np.flatnonzero(last)
+        sign, place = sign[kept], np.cumsum(kept) - 1
+        last = np.zeros(len(sign), dtype=bool)
+        last[place[ended]] = True
         packed = sign.copy()
         for k in range(1, ORDER):
             packed[k:] |= sign[:-k] << (BITS * k)
-        ends = np.cumsum(sizes + ORDER - 1) - 1
-        inside = np.ones(len(sign), dtype=bool)
-        starts = ends - sizes - ORDER + 2
-        inside[(starts[:, None] + np.arange(ORDER - 1)[None]).ravel()] = False
-        last = np.zeros(len(sign), dtype=bool)
-        last[ends[sizes > 0]] = True
+        inside = sign != 0
         return packed[inside], last[inside]
 
 

@@ -44,10 +44,11 @@ def test_empty_table(spark):
 
 
 def test_contexts_read_backwards():
-    packed, last = truncation.Reader().contexts(["ab", "", "c7"])
+    packed, last = truncation.Reader().contexts(["ab", "", "c7", "742"])
     low = (1 << truncation.BITS) - 1
-    assert [[int(x >> truncation.BITS * k) & low for k in range(3)] for x in packed] == [[97, 0, 0], [98, 97, 0], [99, 0, 0], [48, 99, 0]]
-    assert last.tolist() == [False, True, False, True]
+    assert [[int(x >> truncation.BITS * k) & low for k in range(3)] for x in packed] == [[97, 0, 0], [98, 97, 0], [99, 0, 0], [48, 99, 0], [48, 0, 0]]
+    assert last.tolist() == [False, True, False, True, True]
+    assert [x.sum() for x in (truncation.Reader().contexts(["a\0", "\0", "a" + truncation.BETWEEN])[1],)] == [3]
 
 
 def test_bare():
