@@ -177,3 +177,70 @@ def paginated(heights: Sequence[float], first: float, later: float) -> list[int]
         out.append(page)
         used += height
     return out
+
+
+TOLERANCE = 40  # positions that a heading may lie off its expected start, and after which the walk has stalled
+
+
+def walked(chapters: Sequence[tuple[int, int]], markers: Sequence[tuple[int, int, str, int]]) -> list[tuple[int, int, int | None, str | None]]:
+    """Where each chapter's text begins: (page, line, chapter, flag), in order; from a place on the
+    lines belong to its chapter, until the next place.
+
+    `chapters` are (number, start page) in order, `markers` (page, line, `heading` or `closer`,
+    number) in order. A heading of the next chapter, at most TOLERANCE pages off its start, begins
+    it; a closer of the current chapter begins the next one on the line after it. Other headings
+    are flagged `heading_mismatch` and change nothing. Where the next chapter's start lies more
+    than TOLERANCE pages back, the walk goes on with the chapter that covers the page, and those
+    between are flagged `skipped`."""
+    out: list[tuple[int, int, int | None, str | None]] = []
+    at = -1
+    for page, line, kind, number in markers:
+        while at + 1 < len(chapters) and page - chapters[at + 1][1] > TOLERANCE:
+            at += 1
+            covers = at + 1 == len(chapters) or chapters[at + 1][1] > page
+            out.append((page, 0, chapters[at][0], None if covers else "skipped"))
+            if covers:
+                break
+        expected = chapters[at + 1] if at + 1 < len(chapters) else None
+        current = chapters[at] if at >= 0 else None
+        if kind == "heading":
+            if expected and number == expected[0] and abs(page - expected[1]) <= TOLERANCE:
+                at += 1
+                out.append((page, line, number, None))
+            elif not current or number != current[0]:
+                out.append((page, line, current[0] if current else None, "heading_mismatch"))
+        elif current and number == current[0] and expected:
+            at += 1
+            out.append((page, line + 1, expected[0], None))
+    return out
+
+
+def walk(chapters: DataFrame, markers: DataFrame, by: Sequence[str]) -> DataFrame:
+    """by, page, line, chapter, flag: `walked` over each book's chapters (number, start) and markers
+    (page, line, kind, number). Books without markers or without chapters have no rows. Lines get
+    their chapter by `ordered.as_of`; between the books nothing is shared."""
+    kinds = ", ".join(f"{k} {chapters.schema[k].dataType.simpleString()}" for k in by)
+
+    def fold(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.sort_values(["start", "number"], kind="stable"), b.sort_values(["page", "line", "kind", "number"], kind="stable")
+        found = walked([(int(n), int(s)) for n, s in zip(a["number"], a["start"])], [(int(p), int(x), str(k), int(n)) for p, x, k, n in zip(b["page"], b["line"], b["kind"], b["number"])])
+        out = pd.DataFrame(found, columns=["page", "line", "chapter", "flag"])
+        out["chapter"] = out["chapter"].astype("Int64")
+        for k, value in zip(by, key):
+            out[k] = value
+        return out[[*by, "page", "line", "chapter", "flag"]]
+
+    known = chapters.where("number is not null and start is not null").select(*by, "number", "start").distinct()
+    seen = markers.where("page is not null and line is not null and number is not null").select(*by, "page", "line", "kind", "number").distinct()
+    return known.groupBy(*by).cogroup(seen.groupBy(*by)).applyInPandas(fold, f"{kinds}, page long, line long, chapter long, flag string")
+
+
+def pages_of(df: DataFrame, by: Sequence[str], order: Sequence[str], height: str, first: float, later: float) -> DataFrame:
+    """Each group's blocks with the page, from 0 on, that `paginated` puts them on: by, order, page."""
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in [*by, *order])
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values(list(order), kind="stable")
+        return rows[[*by, *order]].assign(page=paginated(rows[height].fillna(0).tolist(), first, later))
+
+    return df.select(*by, *order, height).groupBy(*by).applyInPandas(fold, f"{kinds}, page long")

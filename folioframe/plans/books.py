@@ -249,21 +249,20 @@ def o6_skew(t):
     return _pixels(t).select("vec_id", B.of_image(B.skew_angle)("pixels", F.lit(8)).alias("skew"))
 
 
-@query("r1_contents_blocks", """select scan_id, string_agg(coalesce(title_raw, '(untitled)') || ' ... ' || coalesce(printed_page::varchar, '?'), chr(10) order by part, archive_page nulls first, entry_id) leaf from toc_entry group by 1""")
+@query("r1_contents_blocks", """select scan_id, part, kanda, string_agg(coalesce(title_raw, '(untitled)') || ' ... ' || coalesce(printed_page::varchar, '?'), chr(10) order by archive_page nulls first, entry_id) leaf from toc_entry group by 1, 2, 3""")
 def r1_contents_blocks(t):
-    """The contents leaf of each scan."""
+    """The contents leaf of each book."""
     row = F.concat(F.coalesce("title_raw", F.lit("(untitled)")), F.lit(" ... "), F.coalesce(F.col("printed_page").cast("string"), F.lit("?")))
-    held = t("toc_entry").groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("part", "archive_page", "entry_id", row.alias("r")))).alias("l"))
-    return held.select("scan_id", F.array_join("l.r", "\n").alias("leaf"))
+    held = t("toc_entry").groupBy("scan_id", "part", "kanda").agg(F.array_sort(F.collect_list(F.struct("archive_page", "entry_id", row.alias("r")))).alias("l"))
+    return held.select("scan_id", "part", "kanda", F.array_join("l.r", "\n").alias("leaf"))
 
 
-@query("r2_errata_blocks", "select kanda, case when flag = 'missing_heading' then 'heading' else 'other' end kind, string_agg(distinct scan_id || ':' || sarga, ', ' order by scan_id || ':' || sarga) places from (select scan_id, kanda, sarga, unnest(flags) flag from sarga_span where sarga is not null) group by 1, 2")
+@query("r2_errata_blocks", "select scan_id, kanda, case when flag = 'missing_heading' then 'heading' else 'other' end kind, array_to_string(list_sort(list_distinct(list(sarga))), ', ') places from (select scan_id, kanda, sarga, unnest(flags) flag from sarga_span where sarga is not null) group by 1, 2, 3")
 def r2_errata_blocks(t):
-    """Errata of each kanda: missing headings and other flags."""
+    """Errata of each book: missing headings and other flags."""
     flags = t("sarga_span").where("sarga is not null").select("scan_id", "kanda", "sarga", F.explode("flags").alias("flag"))
-    place = F.concat_ws(":", F.col("scan_id").cast("string"), F.col("sarga").cast("string"))
     kind = F.when(F.col("flag") == "missing_heading", "heading").otherwise("other")
-    return flags.groupBy("kanda", kind.alias("kind")).agg(F.array_join(F.array_sort(F.collect_set(place)), ", ").alias("places"))
+    return flags.groupBy("scan_id", "kanda", kind.alias("kind")).agg(F.array_join(F.array_sort(F.collect_set("sarga")), ", ").alias("places"))
 
 
 _ALT = "trim(regexp_replace(regexp_replace(text_devanagari_alt, '\\s*(।+)\\s*', ' \\1 ', 'g'), ' +', ' ', 'g'))"

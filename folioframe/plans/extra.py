@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import checks as C
+from ..operators import folds, records
 from ..operators import lines as L
 from ..operators import ordered as O
 from ..session import shared_folder
@@ -123,6 +124,35 @@ def w1_listed_pages(t):
     return blocks.groupBy("doc_id", "block").agg(F.min_by(number, "line_no").alias("number"), F.min_by(page, F.when(page.isNotNull(), F.col("line_no"))).alias("page"))
 
 
+@query("f9_walk")
+def f9_walk(t):
+    """Where each sarga begins by a walk over headings, with what does not fit its contents."""
+    chapters = t("toc_entry").select("scan_id", "kanda", F.col("canto_no").alias("number"), F.col("archive_page").alias("start"))
+    markers = t("sarga_span").select("scan_id", "kanda", F.col("heading_page").alias("page"), F.lit(1).alias("line"), F.lit("heading").alias("kind"), F.col("sarga").alias("number"))
+    return folds.walk(chapters, markers, ["scan_id", "kanda"])
+
+
+@query("f12_pages")
+def f12_pages(t):
+    """Titles of each book on pages of 20 lines, 12 on the first, wrapped to 40 characters."""
+    heights = t("toc_entry").select("scan_id", "kanda", "entry_id", folds.lines_at(40)(F.coalesce("title_raw", F.lit(""))).cast("double").alias("height"))
+    return folds.pages_of(heights, ["scan_id", "kanda"], ["entry_id"], "height", 12, 20)
+
+
+@query("k1_page_records")
+def k1_page_records(t):
+    """Records of scanned pages, whose words are laid out line by line for the purpose."""
+    pages = t("documents").where("source like 'scan_page%' and length(text) > 0").select(F.col("doc_id").alias("page"), "text")
+    parts = L.lines(pages, ["page"], "text").select("page", F.col("line_no").alias("line"), F.posexplode(X.tokens(F.col("line"))).alias("i", "text"))
+    left, top = F.least(F.col("i") * 0.06, F.lit(0.9)), F.least(F.lit(0.02) + F.col("line") * 0.02, F.lit(0.98))
+    words = parts.select(
+        "page", (F.col("line") * 1000 + F.col("i")).cast("int").alias("word"), "text", F.lit(90.0).alias("conf"), left.cast("double").alias("l"), top.cast("double").alias("t"), (left + 0.05).cast("double").alias("r"), (top + 0.015).cast("double").alias("b"), "line"
+    )
+    boxes = pages.select("page", F.lit(0).alias("box"), F.lit("text").alias("label"), F.lit(0.0).alias("l"), F.lit(0.065).alias("t"), F.lit(1.0).alias("r"), F.lit(1.0).alias("b"))
+    found = records.page_records(words, boxes)
+    return found.select("page", "mean_conf", "printed_page", "heading", F.array_join("verse_numbers", ",").alias("verse_numbers"), "english_words", "other_words", F.col("english_box.b").alias("english_end"))
+
+
 _STREAMED = "user_id bigint, event_id bigint, event_type string, ts timestamp_ntz"
 
 

@@ -41,12 +41,13 @@ def b6_report(t):
     return counted.select(F.format_string("source %s: %d texts, %d blank, languages %s", "source", "n", "b", F.coalesce("l", F.lit("-"))).alias("line"))
 
 
-@query("b13_envelopes", "select scan_id, part, count(*) entries, count(distinct kanda) kandas, sha256(string_agg(coalesce(title_raw, ''), chr(10) order by entry_id)) content from toc_entry group by 1, 2")
+@query("b13_envelopes", "select scan_id, part, kanda, count(*) entries, count(distinct canto_no) cantos, sha256(string_agg(coalesce(title_raw, ''), chr(10) order by entry_id)) content from toc_entry group by 1, 2, 3")
 def b13_envelopes(t):
-    """Each scan's contents with their number and a digest of all titles."""
+    """Each book's contents with their number and a digest of all titles."""
     titles = t("toc_entry").withColumn("title", F.coalesce("title_raw", F.lit("")))
-    text = A.ordered_text(titles, ["scan_id", "part"], ["entry_id"], "title", "\n").select("scan_id", "part", F.sha2("text", 256).alias("content"))
-    return titles.groupBy("scan_id", "part").agg(F.count("*").alias("entries"), F.countDistinct("kanda").alias("kandas")).join(text, ["scan_id", "part"])
+    book = ["scan_id", "part", "kanda"]
+    text = A.ordered_text(titles, book, ["entry_id"], "title", "\n").select(*book, F.sha2("text", 256).alias("content"))
+    return titles.groupBy(*book).agg(F.count("*").alias("entries"), F.countDistinct("canto_no").alias("cantos")).join(text, book)
 
 
 @query("c1_page_range", "select tree, count(*) n from manifest_origin where page between 10 and 50 group by 1")
