@@ -27,6 +27,7 @@ MARGIN = 0.0  # log-odds above those of any place that a complete text needs
 SUFFIX = 256  # ends that agree in so many characters are copies of one text and count once
 DISCOUNT = 2  # ends of a context that may be other texts' cuts there
 HELD = 6_000_000  # places whose contexts a task holds before it counts them
+READ = 1_000_000  # characters that are read at once, or one text
 FILTER = 24  # bits of a slot number in the filter of final contexts
 SALTS = 16  # parts of one context's texts in the last join
 
@@ -145,17 +146,22 @@ def _counts(words: dict[int, int]):
 
         for batch in batches:
             by: dict[str | None, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if text := bare(text):
-                    by.setdefault(lang, []).append(text)
-            for lang, texts in by.items():
-                packed, last = reader.contexts(texts)
-                held.setdefault(lang, []).append(packed[~last])
-                size += len(packed)
-            if size >= HELD:
-                yield from emitted()
-                held.clear()
-                size = 0
+            waiting = 0
+            for i in range(batch.num_rows + 1):
+                if i < batch.num_rows and (text := bare(batch.column(1)[i].as_py())):
+                    by.setdefault(batch.column(0)[i].as_py(), []).append(text)
+                    waiting += len(text)
+                if waiting < READ and i < batch.num_rows:
+                    continue
+                for lang, texts in by.items():
+                    packed, last = reader.contexts(texts)
+                    held.setdefault(lang, []).append(packed[~last])
+                    size += len(packed)
+                by, waiting = {}, 0
+                if size >= HELD:
+                    yield from emitted()
+                    held.clear()
+                    size = 0
         yield from emitted()
 
     return run
