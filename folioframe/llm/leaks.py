@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ SEED = 3  # words of a seed
 STRETCH = 5  # words of the shortest stretch that counts
 ENOUGH = 15  # words of a case
 STOCK_RUN, STOCK_ITEMS = 5, 5  # a run of so many words in so many items is a stock sentence's
-SHARD = 4000  # documents
+SHARD, CHARACTERS = 4000, 8_000_000  # documents and characters of a shard, or one document
 SAMPLE = 4  # of so many suffixes one keeps its position
 
 _DROP = regex.compile(r"\p{Cf}|[̀-ͯ]|(?<=\p{L}\p{M}*)[-‐‑](?>\s*\n\s*)?(?=\p{L})")
@@ -228,14 +229,24 @@ def merged(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def shards(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most SHARD texts and CHARACTERS characters, one text at least."""
+    upto = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        fits = int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + CHARACTERS, side="right"))
+        end = max(begin + 1, min(begin + SHARD, fits))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _searched(documents: DataFrame, items: DataFrame, key: str, text: str, item: str, passage: str, spans: bool) -> DataFrame:
     passages = Passages([tuple(r) for r in items.select(item, passage).where(F.col(passage).isNotNull()).collect()])
     kind, other = documents.schema[key].dataType.simpleString(), items.schema[item].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for begin in range(0, whole.num_rows, SHARD):
-                batch = whole.slice(begin, SHARD)
+            for batch in shards(whole):
                 found = leaked(batch.column(1).to_pylist(), passages) if len(passages.seeds) else []
                 if not found:
                     continue

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__
 from folioframe.llm.leaks import SEED, Index, Wavelet, leaks, merged, suffixes, words
@@ -84,3 +85,12 @@ def test_index_against_search():
 def test_long_runs_take_linear_time():
     for run in ("a", "-", "a-", "a-\n", "\n", " ", "́", "​", "1"):
         words("a-" + run * 100_000 + "b")
+
+
+def test_shards(monkeypatch):
+    from folioframe.llm import leaks as module
+
+    monkeypatch.setattr(module, "SHARD", 3)
+    monkeypatch.setattr(module, "CHARACTERS", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(["a" * 50, None, "", "bb", "b" * 9, "c", "d", "e" * 11])], ["k", "t"])
+    assert [x.num_rows for x in module.shards(batch)] == [1, 3, 2, 1, 1] and pa.Table.from_batches(module.shards(batch)).num_rows == 8
