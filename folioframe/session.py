@@ -37,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     cluster's is refused."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = context.getConf().get("spark.checkpoint.dir")
+        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         if not folder:
             if not context.master.startswith("local") or context.master.startswith("local-cluster"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
