@@ -9,23 +9,88 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 SLACK = 0.005  # how far a centre may lie outside a box
+PARTS = 4  # of a page's words, by their names; its boxes go to each
+PAIRS = 1 << 16  # of points and boxes that are compared at once
+
+
+def first_around(x: np.ndarray, y: np.ndarray, left: np.ndarray, top: np.ndarray, right: np.ndarray, bottom: np.ndarray) -> np.ndarray:
+    """The number of the first box around each point, edges included; -1 where there is none.
+
+    Points are parted at medians, and each part keeps the boxes that reach into it, up to the
+    first that holds it whole, so that few pairs of a point and a box are ever compared. Places
+    count by rank, in Spark's order: NaN equals itself and is above all else.
+    """
+    ranks, spans = [], []
+    for at, low, high in ((x, left, right), (y, top, bottom)):
+        order = np.argsort(at, kind="stable")
+        rank = np.empty(len(at), np.int64)
+        rank[order] = np.arange(len(at))
+        ranks.append(rank)
+        spans += [np.searchsorted(at[order], low, "left"), np.searchsorted(at[order], high, "right") - 1]
+    (px, py), (x0, x1, y0, y1) = ranks, spans
+    first = np.full(len(x), -1, np.int64)
+    parts = [(np.arange(len(x)), np.arange(len(left)))] if len(x) else []
+    while parts:
+        points, near = parts.pop()
+        u, v = px[points], py[points]
+        ua, ub, va, vb = u.min(), u.max(), v.min(), v.max()
+        near = near[(x0[near] <= ub) & (x1[near] >= ua) & (y0[near] <= vb) & (y1[near] >= va)]
+        whole = (x0[near] <= ua) & (x1[near] >= ub) & (y0[near] <= va) & (y1[near] >= vb)
+        if whole.any():
+            near = near[: whole.argmax() + 1]
+        if len(points) * len(near) > PAIRS:
+            along = u if ub - ua >= vb - va else v
+            low = along < np.partition(along, len(along) // 2)[len(along) // 2]
+            parts += [(points[low], near), (points[~low], near)]
+        elif len(near):
+            u, v = u[:, None], v[:, None]
+            inside = (x0[near] <= u) & (x1[near] >= u) & (y0[near] <= v) & (y1[near] >= v)
+            first[points] = np.where(inside.any(1), near[inside.argmax(1)], -1)
+    return first
+
+
+def _placed(words: pa.Table, boxes: pa.Table) -> pa.Table:
+    """A part of a page's words with the smallest of the page's boxes around each."""
+    boxes = boxes.take(pc.sort_indices(boxes, [("_area", "ascending"), ("_box", "ascending")])).combine_chunks()
+    edges = [boxes[c].to_numpy() for c in ("_l", "_t", "_r", "_b")]
+    names = words["_word"].combine_chunks().dictionary_encode()
+    known = np.flatnonzero(pc.and_(words["_x"].is_valid(), pc.and_(words["_y"].is_valid(), words["_word"].is_valid())).to_numpy())
+    first = first_around(*(words[c].take(known).to_numpy() for c in ("_x", "_y")), *edges)
+    # Rows of the same word share the smallest box around any of them.
+    code = pc.fill_null(names.indices, len(names.dictionary)).to_numpy()
+    best = np.full(len(names.dictionary) + 1, boxes.num_rows, np.int64)
+    np.minimum.at(best, code[known], np.where(first < 0, boxes.num_rows, first))
+    at = best[code]
+    box = boxes["_box"].take(pa.array(at, mask=at == boxes.num_rows))
+    return pa.table([words["_own"], words["_word"], box], ["_own", "_word", "_box"])
 
 
 def smallest_box(words: DataFrame, boxes: DataFrame, page: str, word: str, box: str, slack: float = SLACK) -> DataFrame:
     """page, word, box: each word (page, word, x, y of its centre) with the smallest box (page, box,
-    l, t, r, b) around it; of equally small ones the first; null where there is none. The join is
-    one on pages, so that it never pairs more than one page's words and boxes."""
-    inside = (F.col("x") >= F.col("l") - slack) & (F.col("x") <= F.col("r") + slack) & (F.col("y") >= F.col("t") - slack) & (F.col("y") <= F.col("b") + slack)
+    l, t, r, b) around it; of equally small ones the first; null where there is none. Each of a
+    page's PARTS of words meets the page's boxes in one Arrow group, where `first_around` compares few pairs."""
+    # Both sides need pages of one type to be grouped in the same places.
+    kind = words.select(page).union(boxes.select(page)).schema[0].dataType
+    d = lambda c: c.cast("double")
     area = (F.col("r") - F.col("l")) * (F.col("b") - F.col("t"))
-    held = boxes.select(page, box, "l", "t", "r", "b", F.round(area, 9).alias("_area"))
-    found = words.join(held, page).where(inside).groupBy(page, word).agg(F.min_by(box, F.struct("_area", box)).alias(box))
-    return words.select(page, word).join(found, [page, word], "left")
+    held = boxes.select(
+        F.col(page).cast(kind).alias("_page"), F.col(box).alias("_box"), F.round(area, 9).alias("_area"),
+        d(F.col("l") - slack).alias("_l"), d(F.col("t") - slack).alias("_t"), d(F.col("r") + slack).alias("_r"), d(F.col("b") + slack).alias("_b"),
+    ).where("_page is not null and _l is not null and _t is not null and _r is not null and _b is not null")
+    held = held.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    part = F.pmod(F.xxhash64(word), F.lit(PARTS)).cast("int")
+    centres = words.select(F.col(page).cast(kind).alias("_page"), part.alias("_part"), F.col(page).alias("_own"), F.col(word).alias("_word"), d(F.col("x")).alias("_x"), d(F.col("y")).alias("_y"))
+    kinds = StructType([StructField("_own", words.schema[page].dataType), StructField("_word", words.schema[word].dataType), StructField("_box", boxes.schema[box].dataType)])
+    found = centres.groupBy("_page", "_part").cogroup(held.groupBy("_page", "_part")).applyInArrow(_placed, kinds)
+    return found.select(F.col("_own").alias(page), F.col("_word").alias(word), F.col("_box").alias(box))
 
 
 def counts_of_values(df: DataFrame, keys: Sequence[str], pixels: str) -> DataFrame:
